@@ -6,7 +6,8 @@ from .bpe import op8_byte_bpe
 from .id_store import op7_id_store
 from .mixing import OP1_SQL, op1_mix
 from .simhash import op2_simhash
+from .toxicity import op10_toxicity
 from .url_filter import OP9_SQL, op9_url_filter
 
-QUERIES = {"op1_mix": op1_mix, "op2_simhash": op2_simhash, "op7_id_store": op7_id_store, "op8_byte_bpe": op8_byte_bpe, "op9_url_filter": op9_url_filter}
+QUERIES = {"op1_mix": op1_mix, "op2_simhash": op2_simhash, "op7_id_store": op7_id_store, "op8_byte_bpe": op8_byte_bpe, "op9_url_filter": op9_url_filter, "op10_toxicity": op10_toxicity}
 ORACLE_SQL = {"op1_mix": OP1_SQL, "op9_url_filter": OP9_SQL}
