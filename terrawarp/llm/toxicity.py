@@ -111,7 +111,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = SAMPLE,
 
     id_type = texts.schema["_id"]
     made = texts.select("_id", "_text", "_y").mapInArrow(extract, T.StructType([T.StructField("id", id_type.dataType), T.StructField("y", T.IntegerType()), T.StructField("f", T.BinaryType())]))
-    got = made.groupBy(F.lit(1)).applyInArrow(train, "keys binary, weights binary, bias double").collect()
+    got = made.groupBy().applyInArrow(train, "keys binary, weights binary, bias double").collect()
     if not got:
         return ftrl([], np.zeros(0))
     return Model(np.frombuffer(got[0].keys, dtype=np.uint32), np.frombuffer(got[0].weights), got[0].bias)
