@@ -1,8 +1,9 @@
 """Byte-level BPE encoding and decoding with the tokenizers library over Arrow batches.
 
-Text is split where the pattern always splits: before a single space that a non-space follows. Each such part is
-encoded once by the library and remembered in the worker (a bounded memo of parts, not of documents); a text in
-which spaces meet other white space goes to the library whole. Both give the ids of the whole text.
+Text is split where the pattern always splits: before a single space that a non-space follows, and before a line
+end that stands alone or in a pair. Each such part is encoded once by the library and remembered in the worker (a
+bounded memo of parts, not of documents); a text with other runs of white space goes to the library whole. Both give
+the ids of the whole text.
 
 Decoding reverses the byte table: every id names a string of stand-in characters, each stand-in is one byte, and
 the bytes of all ids are joined before they are read as UTF-8, so characters split between ids come out whole.
@@ -30,9 +31,9 @@ from pyspark.sql import types as T
 from .common import free_name, table
 
 #: Parts that a worker remembers, and the longest part that it does; then the memo starts anew.
-MEMO_PARTS, MEMO_LENGTH = 700_000, 64
-#: Spaces that do not stand alone before a non-space.
-_MIXED = re.compile(r" (?=\s|\Z)")
+MEMO_PARTS, MEMO_LENGTH = 1_200_000, 64
+#: Spaces that do not stand alone before a non-space, and line ends in longer or mixed runs.
+_MIXED = re.compile(r" (?=\s|\Z)|\n(?!\n?\S|\Z)")
 #: How many letters of new parts go into one call of the library.
 _CALL = 4000
 
@@ -52,6 +53,11 @@ def _merges(ranks: dict[bytes, int]) -> list[tuple[bytes, bytes]]:
     return [(t[:i], t[i:]) for t, _ in sorted(ranks.items(), key=lambda x: x[1]) for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
 
 
+def _spaced(part: str) -> str:
+    """A part as it stands in its text: line ends are part of it, spaces are not."""
+    return part if part[0] == "\n" else " " + part
+
+
 class Codec:
     """Encoder and decoder of one vocabulary: ids as little-endian unsigned 32-bit integers."""
 
@@ -66,27 +72,27 @@ class Codec:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _learn(self, parts: list[str]) -> None:
-        """Encodes new parts, each after a space, many in one call; their ids are told apart by byte lengths."""
+        """Encodes new parts, each after its space or line end, many in one call; byte lengths tell their ids apart."""
         block: list[str] = []
         blocks, n = [block], 0
         for p in parts:
             if n > _CALL:
                 block, n = [], 0
                 blocks.append(block)
-            block.append(p)
+            block.append(_spaced(p))
             n += len(p) + 1
-        for b, e in zip(blocks, self.tokenizer.encode_batch_fast([" " + " ".join(b) for b in blocks], add_special_tokens=False), strict=True):
+        for b, e in zip(blocks, self.tokenizer.encode_batch_fast(list(map("".join, blocks)), add_special_tokens=False), strict=True):
             ids = np.array(e.ids, dtype="<u4")
-            ends = np.cumsum([len(p.encode()) + 1 for p in b])
+            ends = np.cumsum([len(p.encode()) for p in b])
             cut = np.searchsorted(np.cumsum(self.lengths[ids]), ends, side="left") + 1
             raw, at = ids.tobytes(), 0
             for p, to in zip(b, (cut * 4).tolist(), strict=True):
-                self.memo[p] = raw[at:to]
+                self.memo[p[p[0] == " " :]] = raw[at:to]
                 at = to
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
-        split = [None if _MIXED.search(t) else t.split(" ") for t in texts]
+        split = [None if _MIXED.search(t) else t.replace("\n", " \n").split(" ") for t in texts]
         new: set[str] = set()
         for parts in split:
             if parts is not None:
@@ -104,7 +110,7 @@ class Codec:
                 continue
             got = [self.whole(parts[0]) if parts[0] else b"", *map(memo.get, parts[1:])]
             if None in got:
-                got = [g if g is not None else self.whole(" " + p) for g, p in zip(got, parts, strict=True)]
+                got = [g if g is not None else self.whole(_spaced(p)) for g, p in zip(got, parts, strict=True)]
             out.append(b"".join(got))
         return out
 

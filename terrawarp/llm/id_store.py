@@ -40,8 +40,9 @@ TOP_BITS, LEAST, MOST = 9, 64, 4096
 KEY = 16
 
 
-def cuts(ids: np.ndarray) -> list[int]:
-    """Where the chunks of an id stream end."""
+def marks(ids: np.ndarray) -> np.ndarray:
+    """Places after which a chunk may end. A place's mark depends on its last 16 ids alone, so streams may lie one
+    after another: no chunk ends within the first LEAST ids of its stream."""
     h = ids.astype(np.uint32) * np.uint32(0x9E3779B1)
     h ^= h >> np.uint32(15)
     h *= np.uint32(0x85EBCA6B)
@@ -49,19 +50,25 @@ def cuts(ids: np.ndarray) -> list[int]:
         older = np.zeros_like(h)
         older[k:] = h[:-k] if k < len(h) else 0
         h = h + (older << np.uint32(k))
+    return np.flatnonzero(h >> np.uint32(32 - TOP_BITS) == 0) + 1
+
+
+def cuts(marked: np.ndarray, start: int, length: int) -> list[int]:
+    """Where the chunks of the stream of that place and length end, counted from its start."""
+    lo, hi = np.searchsorted(marked, (start + 1, start + length), side="left")
     ends, last = [], 0
-    for at in (np.flatnonzero(h >> np.uint32(32 - TOP_BITS) == 0) + 1).tolist():
+    for at in (marked[lo:hi] - start).tolist():
         while at - last > MOST:
             last += MOST
             ends.append(last)
         if at - last >= LEAST:
             ends.append(at)
             last = at
-    while len(ids) - last > MOST:
+    while length - last > MOST:
         last += MOST
         ends.append(last)
-    if last < len(ids):
-        ends.append(len(ids))
+    if last < length:
+        ends.append(length)
     return ends
 
 
@@ -127,17 +134,20 @@ def write_store(docs: DataFrame, to: str, path: str, pattern: str | None = None,
             ids_of, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for s in blocks(texts):
                 out = []
-                for d, raw in zip(ids_of[s], c.encode(texts[s]), strict=True):
-                    raw += tail
-                    ids, at, recipe = np.frombuffer(raw, dtype="<u4"), 0, []
-                    for end in cuts(ids):
+                streams, start = [raw + tail for raw in c.encode(texts[s])], 0
+                every = np.frombuffer(b"".join(streams), dtype="<u4")
+                marked = marks(every)
+                for d, raw in zip(ids_of[s], streams, strict=True):
+                    n, at, recipe = len(raw) // 4, 0, []
+                    for end in cuts(marked, start, n):
                         key = hashlib.blake2b(raw[4 * at : 4 * end], digest_size=KEY).digest()
                         recipe.append(key)
                         if key not in seen:
                             seen.add(key)
-                            out.append((0, key, None, end - at, pack(ids[at:end])))
+                            out.append((0, key, None, end - at, pack(every[start + at : start + end])))
                         at = end
-                    out.append((1, task.to_bytes(8, "big") + row.to_bytes(8, "big"), d, len(ids), b"".join(recipe)))
+                    out.append((1, task.to_bytes(8, "big") + row.to_bytes(8, "big"), d, n, b"".join(recipe)))
+                    start += n
                     row += 1
                     if len(seen) > 1_000_000:
                         seen = set()
