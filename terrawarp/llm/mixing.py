@@ -25,6 +25,8 @@ from .common import Scratch, free_name, table, word_count
 DIGITS, LEVELS = 3, 5
 #: Sources up to this number are broadcast (one short row each); more are joined by shuffle.
 BROADCAST_SOURCES = 10_000
+#: Columns that `mix` adds.
+ADDED = ("size", "source_size", "target", "taken", "copies")
 
 
 def doc_hash(df: DataFrame, doc_id: str, source: str, text: str, seed: str = "") -> Column:
@@ -47,8 +49,9 @@ def source_targets(totals: DataFrame, weights: tuple[int, ...], share: float, ca
     every = Window.orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     t = t.withColumn("_left", F.least(F.sum("source_size").over(every) * F.lit(float(share)), F.sum("_cap").over(every)) - F.coalesce(F.sum("_cap").over(up), F.lit(0.0)))
     t = t.withColumn("_rest", F.sum("_w").over(every) - F.coalesce(F.sum("_w").over(up), F.lit(0.0)))
-    t = t.withColumn("_level", F.when(F.col("_left") / F.col("_rest") <= F.col("_cap") / F.col("_w"), F.col("_left") / F.col("_rest")))
-    t = t.withColumn("_level", F.min("_level").over(every))
+    level = F.col("_left") / F.col("_rest")
+    t = t.withColumn("_at", F.when(level <= F.col("_cap") / F.col("_w"), F.struct(F.col("_cap") / F.col("_w"), F.col("_k"), level.alias("level"))))
+    t = t.withColumn("_level", F.min("_at").over(every)["level"])
     return t.select("source", "source_size", F.least(F.col("_cap"), F.coalesce(F.col("_level") * F.col("_w"), F.col("_cap"))).alias("target"))
 
 
@@ -81,7 +84,7 @@ def thresholds(slim: DataFrame, budgets: DataFrame, scratch: Scratch) -> DataFra
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, cap: float = 2.0, doc_id: str = "doc_id", source: str = "source", text: str = "text", seed: str = "") -> DataFrame:
-    """docs with size, source_size, target and taken added: each source's documents are taken whole, once or more,
+    """docs with size, source_size, target, taken and copies added: each source's documents are taken whole, once or more,
     so that its words come within half a document of its target. The same rows and seed give the same mix.
 
     Whole passes: a source whose target is p times its size and a rest takes every document p times; the documents
@@ -97,15 +100,22 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
     plan = goal.join(cuts.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
     plan = scratch.keep(plan)
     small = plan.count() <= BROADCAST_SOURCES
-    names = {"size": "size", "source_size": "source_size", "target": "target", "taken": "taken"}
-    base = docs.drop(*[c for c in docs.columns if c.lower() in names])
+    base = docs.drop(*[c for c in docs.columns if c.lower() in ADDED])
     h, s = free_name(docs, "_h"), free_name(docs, "_src")
     base = base.withColumn(h, doc_hash(base, doc_id, source, text, seed)).withColumn("size", word_count(base[text]))
     plan = plan.withColumnRenamed("source", s)
     out = base.join(F.broadcast(plan) if small else plan, base[source].eqNullSafe(plan[s]), "left")
     under = F.coalesce((F.col(h) < F.col("cut")) & ~F.startswith(F.col(h), F.col("cut")) | (F.startswith(F.col(h), F.col("cut")) & F.col("with_cut")), F.lit(False))
-    taken = (F.col("size") * (F.col("passes") + under.cast("long"))).cast("long")
-    return out.select(*[base[c] for c in base.columns if c not in (h, "size")], "size", "source_size", "target", taken.alias("taken"))
+    copies = (F.col("passes") + under.cast("long")).cast("long")
+    return out.select(*[base[c] for c in base.columns if c not in (h, "size")], "size", "source_size", "target", (F.col("size") * copies).alias("taken"), copies.alias("copies"))
+
+
+def mixed(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, cap: float = 2.0, doc_id: str = "doc_id", source: str = "source", text: str = "text", seed: str = "") -> DataFrame:
+    """The mix itself: each document as often as `mix` takes it (at most ceil(cap) times), with its own columns."""
+    m = mix(docs, weights, share, cap, doc_id, source, text, seed)
+    own = free_name(m, "_copy")
+    kept = [c for c in docs.columns if c.lower() not in ADDED]
+    return m.where("copies > 0").withColumn(own, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*kept)
 
 
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,7 +133,8 @@ k AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS k FROM s),
 w AS (SELECT *, CASE k % 3 WHEN 0 THEN 3.0 WHEN 1 THEN 1.0 ELSE 2.0 END::DOUBLE AS w, 2.0 * source_size AS cap FROM k),
 l AS (SELECT *, sum(source_size) OVER () * 1.5 - coalesce(sum(cap) OVER (ORDER BY cap / w, k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS lft,
              sum(w) OVER () - coalesce(sum(w) OVER (ORDER BY cap / w, k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest FROM w),
-v AS (SELECT *, min(CASE WHEN lft / rest <= cap / w THEN lft / rest END) OVER () AS lev FROM l),
+o AS (SELECT *, row_number() OVER (ORDER BY cap / w, k) AS pos FROM l),
+v AS (SELECT *, (SELECT lft / rest FROM o WHERE lft / rest <= cap / w ORDER BY pos LIMIT 1) AS lev FROM o),
 t AS (SELECT source, source_size, least(cap, coalesce(lev * w, cap))::DOUBLE AS target FROM v),
 p AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS passes FROM t),
 u AS (SELECT source, h, sum(size) AS size FROM d GROUP BY source, h),
