@@ -222,10 +222,12 @@ def decode(docs: DataFrame, path: str, pattern: str | None = None, ids: str = "i
     return base.mapInArrow(run, schema)
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Encodes each text and decodes its ids: doc_id, n_tokens, ids_sha256, decoded_sha256. No shuffle."""
+def round_trip(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
+    """Encodes each text and decodes its ids: doc_id, n_tokens, ids_sha256, decoded_sha256, and ids array<int> if they
+    are wanted too. No shuffle."""
     source = docs.select(docs[doc_id], F.coalesce(docs[text], F.lit("")).alias("text"))
-    schema = T.StructType([source.schema[doc_id], T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
+    fields = [source.schema[doc_id], T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
+    schema = T.StructType([*fields, *([T.StructField("ids", T.ArrayType(T.IntegerType()))] if with_ids else [])])
 
     def run(batches):
         c, sha = codec(path, pattern), hashlib.sha256
@@ -234,6 +236,9 @@ def round_trip(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id",
             for s in blocks(texts):
                 ids = c.encode(texts[s])
                 cols = [batch.column(0).slice(s.start, s.stop - s.start), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array([sha(i).hexdigest() for i in ids], pa.string()), pa.array([sha(c.decode(i)).hexdigest() for i in ids], pa.string())]
+                if with_ids:
+                    at = np.concatenate([[0], np.cumsum([len(i) // 4 for i in ids])]).astype(np.int32)
+                    cols.append(pa.ListArray.from_arrays(pa.array(at), pa.array(np.frombuffer(b"".join(ids), dtype="<i4"), pa.int32())))
                 yield pa.RecordBatch.from_arrays(cols, schema.names)
 
     return source.mapInArrow(run, schema)
