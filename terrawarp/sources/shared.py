@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 
 from pyspark.sql import SparkSession
 
 
+@functools.cache
+def _own_dir() -> str:
+    return tempfile.mkdtemp(prefix="terrawarp-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """spark.checkpoint.dir of the session; an own folder only where it is unset, as in tests."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = tempfile.mkdtemp(prefix="terrawarp-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
+    return spark.conf.get("spark.checkpoint.dir", None) or _own_dir()
