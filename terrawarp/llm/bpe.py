@@ -212,12 +212,13 @@ def decode(docs: DataFrame, path: str, pattern: str | None = None, ids: str = "i
     """docs with the text of an id column added; bytes that are no UTF-8 become U+FFFD. Null ids give null."""
     base = docs.drop(*[c for c in docs.columns if c.lower() == to.lower() and c != ids])
     schema = T.StructType([*base.schema.fields, T.StructField(to, T.StringType())])
+    at = base.columns.index(ids)
 
     def run(batches):
         c = codec(path, pattern)
         for batch in batches:
-            found = [None if x is None else c.decode(np.array(x, dtype="<u4").tobytes()).decode("utf-8", "replace") for x in batch.column(base.columns.index(ids)).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], [*base.columns, to])
+            found = [None if x is None else c.decode(np.array(x, dtype="<u4").tobytes()).decode("utf-8", "replace") for x in batch.column(at).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], schema.names)
 
     return base.mapInArrow(run, schema)
 

@@ -221,7 +221,8 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.
     stay = scratch.keep(stay)
     d, h = free_name(docs, "_d"), free_name(docs, "_h")
     keep = stay.select(F.col("doc_id").alias(d), F.col("th").alias(h)).distinct()
-    out = docs.join(keep, docs[doc_id].eqNullSafe(keep[d]) & (F.xxhash64(docs[text]) == keep[h]), "left_semi")
+    # the same plan at every size: texts meet the ids of kept documents by a shuffle
+    out = docs.join(keep.hint("shuffle_hash"), docs[doc_id].eqNullSafe(keep[d]) & (F.xxhash64(docs[text]) == keep[h]), "left_semi")
     if stay.where("c > 1").take(1):
         out = out.withColumn(h, F.xxhash64(F.col(text))).dropDuplicates([doc_id, h]).drop(h)
     return out
