@@ -108,7 +108,9 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, doc_id: str = "doc_
     cuts = cut_runs(docs, doc_id, text, min_words, scratch)
     base = docs.drop(*[c for c in docs.columns if c.lower() in ("n_lines", "n_removed") and c not in (doc_id, text)])
     d, c, x = free_name(base, "_d"), free_name(base, "_cuts"), free_name(base, "_x")
-    out = base.withColumn(d, F.xxhash64(base[doc_id], base[text])).join(cuts.select(F.col("d").alias(d), F.col("cuts").alias(c)), d, "left")
+    # the same plan at every size: texts meet their cuts by a shuffle
+    cuts = cuts.select(F.col("d").alias(d), F.col("cuts").alias(c)).hint("shuffle_hash")
+    out = base.withColumn(d, F.xxhash64(base[doc_id], base[text])).join(cuts, d, "left")
     out = out.withColumn(x, F.split(F.col(text), "\n", -1))
     starts = F.concat(F.array(F.lit(0)), F.transform(c, lambda r: r["b"] + 1))
     ends = F.concat(F.transform(c, lambda r: r["a"]), F.array(F.size(x)))
