@@ -45,7 +45,8 @@ def packed(rows: DataFrame, size: int, build, scratch: Scratch) -> tuple[DataFra
         ids, vecs = matrix(group["vec_id"].combine_chunks(), group["embedding"].combine_chunks())
         return pa.table({"part": pa.array([group["part"][0].as_py()], pa.int32()), "data": pa.array([build(ids, vecs)], pa.binary())})
 
-    dealt = rows.withColumn("part", F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int"))
+    # few bytes but much work: the stated number keeps parts from being put together into few tasks
+    dealt = rows.withColumn("part", F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int")).repartition(4 * parts, "part")
     return scratch.keep(dealt.groupBy("part").applyInArrow(run, "part int, data binary")), parts
 
 
@@ -53,7 +54,7 @@ def answered(shards: DataFrame, n_shards: int, blocks: DataFrame, search, score:
     """(query_id, rank, vec_id, score): every block of the stated queries meets every shard of the index, and the k best
     of each pair's answers are merged; each shard gives k at most for a query, so a query's rows are k a shard."""
     asked = blocks.select(F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))).alias("part"), F.col("data").alias("asked"))
-    met = shards.join(asked, "part").select("data", "asked")
+    met = shards.join(asked, "part").select("data", "asked").repartition(4 * n_shards)
 
     def run(batches):
         for batch in batches:
