@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from .common import free_name, table
 
 #: Parts that a worker remembers, and the longest part that it does; then the memo starts anew.
-MEMO_PARTS, MEMO_LENGTH = 1_200_000, 64
+MEMO_PARTS, MEMO_LENGTH = 500_000, 64
 #: Spaces that do not stand alone before a non-space, and line ends in longer or mixed runs.
 _MIXED = re.compile(r" (?=\s|\Z)|\n(?!\n?\S|\Z)")
 #: How many letters of new parts go into one call of the library.
