@@ -36,6 +36,8 @@ from .toxicity import fold
 #: Order of the model and the weight of the shorter context.
 ORDER, MU = 2, 32.0
 END, START = 0, 1
+#: Places whose arcs a worker holds at a time.
+LOADED = 200_000
 _MIX, _ADD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
 
 
@@ -112,6 +114,8 @@ class Automaton:
             self.base.append(self.base[-1] + len(b.grams[k]))
         self.fail = [0] * self.base[-1]
         self.cost = [0.0] * self.base[-1]
+        self.at = b.at
+        self.tables: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
         self.arcs: dict[int, tuple[float, int]] = {}
         self.span = len(b.grams[0])
         below = prob
@@ -125,8 +129,7 @@ class Automaton:
             seen = totals[k] > 0
             state = self.base[k - 1] + context
             target = self.base[k] + np.arange(len(ends)) if k + 1 < order else self.base[k - 1] + shorter
-            keys = (state * self.span + word)[seen].tolist()
-            self.arcs.update(zip(keys, zip(np.log10(p[seen]).tolist(), target[seen].tolist(), strict=True), strict=True))
+            self.tables.append((state * self.span + word, np.log10(p), target, seen))
             number = np.arange(len(b.grams[k - 1]))
             cost = np.log10(mu / (longer[k - 1] + mu)).tolist()
             to = np.zeros(len(number), dtype=np.int64)
@@ -139,6 +142,15 @@ class Automaton:
         self.order = order
         self.unigram_list = logs.tolist()
 
+    def load(self, start: int, end: int) -> None:
+        """Makes the arcs of the n-grams that end in these places, in place of those before."""
+        self.arcs = {}
+        for k, (keys, logs, target, seen) in enumerate(self.tables, 1):
+            here = np.unique(self.at[k][start:end])
+            here = here[here >= 0]
+            here = here[seen[here]]
+            self.arcs.update(zip(keys[here].tolist(), zip(logs[here].tolist(), target[here].tolist(), strict=True), strict=True))
+
     def score(self, words: list[int]) -> float:
         """log10 of the text's probability; words: START, the words and END, as numbers of unigrams."""
         arcs, fail, cost, unigram, span, base = self.arcs.get, self.fail, self.cost, self.unigram_list, self.span, self.base[0]
@@ -233,8 +245,11 @@ def score_documents(docs: DataFrame, learn: Column, order: int = ORDER, mu: floa
         totals = [np.concatenate([_numbers(r[1][k]) for r in rows]).astype(np.float64) for k in range(order)]
         tokens, words = sum(r[2] for r in rows), sum(r[3] for r in rows)
         machine = Automaton(block, totals, tokens, words, mu)
-        scores, base, known = [], [], []
+        scores, base, known, loaded = [], [], [], 0
         for s, size in zip(block.starts.tolist(), block.sizes.tolist(), strict=True):
+            if s + size > loaded:  # arcs of the next places, those of this text at least
+                loaded = max(s + size, min(s + LOADED, len(block.tokens)))
+                machine.load(s, loaded)
             seq = block.at[0][s : s + size]
             scores.append(machine.score(seq.tolist()))
             base.append(float(machine.unigram[seq[1:]].sum()))
