@@ -112,6 +112,7 @@ def components(edges: DataFrame, scratch: Scratch, most: int = 60) -> DataFrame:
 
 
 def _sign(edges: DataFrame) -> tuple:
-    """Count and order-free hash of the edges: equal from one round to the next once they are stars."""
-    r = edges.agg(F.count("*"), F.sum(F.shiftright(F.xxhash64("u", "v"), 8)), F.bit_xor(F.xxhash64("v", "u"))).first()
+    """Count and order-free hashes of the edges, which are distinct: equal from one round to the next once they are
+    stars. Exclusive ors, as a sum of hashes overflows."""
+    r = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64(F.lit(1), "v", "u"))).first()
     return tuple(r)

@@ -72,6 +72,13 @@ def test_prefix_sum_and_components(spark):
     assert components(spark.createDataFrame([], "a long, b long"), scratch).count() == 0
 
 
+def test_components_of_many_edges(spark):
+    n = 1_200_000
+    edges = spark.range(n).select((F.col("id") * 3 + 1).alias("a"), (F.col("id") * 3).alias("b"))
+    got = components(edges, Scratch(spark))
+    assert got.where("label <> node - node % 3").count() == 0 and got.distinct().count() == got.count() == 2 * n
+
+
 def brute_targets(sizes, weights=(3, 1, 2), share=1.5, cap=2.0):
     order = sorted((s for s in sizes if s is not None)) + [None] * (None in sizes)
     w, fixed, total = {s: weights[i % 3] for i, s in enumerate(order)}, {}, share * sum(sizes.values())
