@@ -9,9 +9,10 @@ Two entries share the method:
   two nodes 1 or 2 bits apart always name a value in common. So the links of a hot bucket come from rows that grow
   with its nodes, and no group of equal values has more than 33 nodes a key.
 * `near_duplicates` finds texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more. At that
-  similarity 15 % of a fingerprint's bits differ, which 64 bits and two of distance can't hold; the fingerprint gets
-  as many blocks as make a similar pair share one with probability RECALL (at least 640 bits), their width following
-  the number of texts so that a random text meets a constant number of others. All bits verify a candidate.
+  similarity 15 % of a fingerprint's bits differ, which 64 bits and two of distance can't hold. Candidates share one
+  of as many blocks as make a similar pair share one with probability RECALL, their width following the number of
+  texts so that a random text meets a constant number of others. The verdict is the same at every number of texts: a
+  candidate passes NEAR_BITS fingerprint bits with 4 deviations of slack, and then the exact similarity of the sets.
 
 Defined results: see the functions.
 """
@@ -34,8 +35,12 @@ from .common import Scratch, components, free_name, table
 SEED, BITS, BLOCKS, APART = 42, 64, 4, 2
 #: Buckets above this number of nodes take the linear way.
 LIMIT = 32
-#: Probability with which a pair at the similarity sought shares a block.
+#: Probability with which a pair at the similarity sought shares a block, at least.
 RECALL = 0.997
+#: Fingerprint bits that filter candidates, at every number of texts.
+NEAR_BITS = 640
+#: Factors on the share of differing bits, and the most shingles of a tiny set.
+UNEVEN, UNEVEN_TINY, TINY = 1.0, 1.0, 0
 
 
 def shingle_hashes(text: str | None, words: int) -> np.ndarray:
@@ -122,11 +127,15 @@ def differing(similarity: float) -> float:
     return math.acos(min(1.0, 2 * similarity / (1 + similarity))) / math.pi
 
 
-def plan_blocks(texts: int, similarity: float) -> tuple[int, int]:
-    """(width, blocks): a random text shares a block of that width with about 16 others."""
+def plan_blocks(texts: int, similarity: float) -> tuple[int, int, int]:
+    """(width, blocks, blocks of tiny sets): a random text shares a block of that width with about 16 others."""
     width = min(30, max(8, math.ceil(math.log2(max(texts, 2))) - 4))
-    p = (1 - differing(similarity)) ** width
-    return width, max(math.ceil(math.log(1 - RECALL) / math.log(1 - p)) if p < 1 else 1, math.ceil(640 / width))
+
+    def enough(share):
+        p = (1 - share) ** width
+        return max(math.ceil(math.log(1 - RECALL) / math.log(1 - p)) if p < 1 else 1, math.ceil(NEAR_BITS / width))
+
+    return width, enough(differing(similarity) * UNEVEN), enough(differing(similarity) * UNEVEN_TINY)
 
 
 def _mixed(h: np.ndarray, k: int) -> np.ndarray:
@@ -137,11 +146,11 @@ def _mixed(h: np.ndarray, k: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _wide(docs: DataFrame, words: int, width: int, blocks: int, doc_id: str, text: str) -> DataFrame:
-    """(doc_id, th, node, n, fp array<long>, keys array<long>): th names the text, node its set of shingles."""
-    count = math.ceil(width * blocks / 64)
+def _wide(docs: DataFrame, words: int, width: int, blocks: int, tiny: int, doc_id: str, text: str) -> DataFrame:
+    """(doc_id, th, node, n, fp array<long>, keys array<long>, shingles array<long>): th names the text, node its set of
+    shingles. Sets of up to TINY shingles have `tiny` keys, the first `blocks` of them like those of others."""
     source = docs.select(docs[doc_id].alias("doc_id"), F.xxhash64(docs[text]).alias("th"), docs[text].alias("text"))
-    more = "node long, n long, fp array<long>, keys array<long>"
+    more = "node long, n long, fp array<long>, keys array<long>, shingles array<long>"
     schema = T.StructType([*source.schema.fields[:2], *T.StructType.fromDDL(more).fields])
 
     def run(batches):
@@ -150,52 +159,65 @@ def _wide(docs: DataFrame, words: int, width: int, blocks: int, doc_id: str, tex
             rows = []
             for t in batch.column(2).to_pylist():
                 h = np.unique(shingle_hashes(t, words))
-                bits = np.concatenate([bits_of(_mixed(h, k)) for k in range(count)])
-                keys = bits[: width * blocks].reshape(blocks, width) @ weights + (np.arange(blocks, dtype=np.int64) << width)
-                rows.append({"node": xxhash.xxh64_intdigest(h.tobytes()) - (1 << 63), "n": len(h), "fp": np.packbits(bits, bitorder="little").view("<i8").tolist(), "keys": keys.tolist()})
-            made = pa.Table.from_pylist(rows, pa.schema([("node", pa.int64()), ("n", pa.int64()), ("fp", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64()))])).combine_chunks()
+                own = tiny if len(h) <= TINY else blocks
+                bits = np.concatenate([bits_of(_mixed(h, k)) for k in range(math.ceil(width * own / 64))])
+                keys = bits[: width * own].reshape(own, width) @ weights + (np.arange(own, dtype=np.int64) << width)
+                rows.append({"node": xxhash.xxh64_intdigest(h.tobytes()) - (1 << 63), "n": len(h), "fp": np.packbits(bits[:NEAR_BITS], bitorder="little").view("<i8").tolist(), "keys": keys.tolist(), "shingles": h.view(np.int64).tolist()})
+            made = pa.Table.from_pylist(rows, pa.schema([("node", pa.int64()), ("n", pa.int64()), ("fp", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64())), ("shingles", pa.list_(pa.int64()))])).combine_chunks()
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in made.columns]], schema.names)
 
     return source.mapInArrow(run, schema)
 
 
-def near_links(nodes: DataFrame, width: int, blocks: int, similarity: float, scratch: Scratch) -> DataFrame:
-    """Edges (a, b) between nodes (node, n, fp, keys) that share a block and are as close as sets of that similarity.
+def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Those pairs (a, b) of nodes whose sets (node, shingles; a row each at least) have that Jaccard similarity."""
+    named = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    own = sets.join(named, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("h"))
+    both = pairs.join(own.select(F.col("node").alias("a"), F.col("h").alias("ha")), "a").join(own.select(F.col("node").alias("b"), F.col("h").alias("hb")), "b")
+    # |common| (1 + s) >= s (|a| + |b|), with room for rounding below any step of the counts
+    enough = F.size(F.array_intersect("ha", "hb")) * (1 + similarity) >= (F.size("ha") + F.size("hb")) * similarity - 1e-6
+    return both.where(enough).select("a", "b")
+
+
+def near_links(nodes: DataFrame, sets: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
+    """Edges (a, b) between nodes (node, n, fp, keys) that share a block and whose sets (node, shingles) have that
+    similarity, by a filter of fingerprint bits and sizes and then exactly.
 
     Buckets up to LIMIT are paired. In a larger one every node is verified against one pivot; then, with the
     components that all links so far give, the nodes outside the bucket's largest component are verified against all
     of its nodes of other components: no link between components is lost, and nodes known to belong together, the
     bulk of a hot bucket, are never paired."""
-    count = math.ceil(width * blocks / 64)
-    bits, share = width * blocks, differing(similarity)
-    most = bits * share + 1.5 * math.sqrt(bits * share * (1 - share))
-    sketch_most = math.ceil(64 * share + 3.7 * math.sqrt(64 * share * (1 - share)))
-    apart = lambda x, y: sum((F.bit_count(F.get(x, i).bitwiseXOR(F.get(y, i))) for i in range(1, count)), F.bit_count(F.get(x, 0).bitwiseXOR(F.get(y, 0)))) <= math.floor(most * count * 64 / bits)
-    alike = lambda x, y: F.least(x, y) >= F.greatest(x, y) * (similarity * 0.93)
+    def most(bits, n):
+        """Bits in which sets may differ, the smaller of n shingles: 4 deviations above the mean."""
+        tiny, other = (math.floor(bits * p + 4 * math.sqrt(bits * p * (1 - p))) for p in (differing(similarity) * u for u in (UNEVEN_TINY, UNEVEN)))
+        return F.when(n <= TINY, tiny).otherwise(other)
+
+    apart = lambda x, y, nx, ny: sum((F.bit_count(F.get(x, i).bitwiseXOR(F.get(y, i))) for i in range(1, NEAR_BITS // 64)), F.bit_count(F.get(x, 0).bitwiseXOR(F.get(y, 0)))) <= most(NEAR_BITS, F.least(nx, ny))
+    alike = lambda x, y: F.least(x, y) >= F.greatest(x, y) * similarity - 1e-6
     keys = nodes.select(F.explode("keys").alias("k"), "node", "n", F.get("fp", 0).alias("s"))
     load = keys.groupBy("k").agg(F.count("*").alias("c")).where("c > 1")
     shared = scratch.keep(keys.join(load, "k"))
     small = shared.where(F.col("c") <= LIMIT)
     x, y = small.select("k", F.col("node").alias("a"), F.col("n").alias("na"), F.col("s").alias("sa")), small.select("k", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("s").alias("sb"))
-    pairs = x.join(y, "k").where((F.col("a") < F.col("b")) & (F.bit_count(F.col("sa").bitwiseXOR(F.col("sb"))) <= sketch_most) & alike(F.col("na"), F.col("nb"))).select("a", "b").distinct()
-    fp = nodes.select("node", "fp")
-    found = pairs.join(fp.select(F.col("node").alias("a"), F.col("fp").alias("fa")), "a").join(fp.select(F.col("node").alias("b"), F.col("fp").alias("fb")), "b").where(apart(F.col("fa"), F.col("fb"))).select("a", "b")
-    edges = scratch.keep(found)
+    pairs = x.join(y, "k").where((F.col("a") < F.col("b")) & (F.bit_count(F.col("sa").bitwiseXOR(F.col("sb"))) <= most(64, F.least("na", "nb"))) & alike(F.col("na"), F.col("nb"))).select("a", "b").distinct()
+    fp = nodes.select("node", "fp", "n")
+    found = pairs.join(fp.select(F.col("node").alias("a"), F.col("fp").alias("fa"), F.col("n").alias("na")), "a").join(fp.select(F.col("node").alias("b"), F.col("fp").alias("fb"), F.col("n").alias("nb")), "b").where(apart(F.col("fa"), F.col("fb"), F.col("na"), F.col("nb"))).select("a", "b")
+    edges = scratch.keep(verified(scratch.keep(found), sets, similarity))
     hot = shared.where(F.col("c") > LIMIT)
     if not hot.take(1):
         return edges
-    hot = scratch.keep(hot.select("k", "node", "n").join(fp, "node"))
+    hot = scratch.keep(hot.select("k", "node").join(fp, "node"))
     pivot = hot.groupBy("k").agg(F.min_by(F.struct("node", "fp", "n"), F.xxhash64("node")).alias("p"))
-    by_pivot = hot.join(pivot, "k").where((F.col("node") != F.col("p.node")) & alike(F.col("n"), F.col("p.n")) & apart(F.col("fp"), F.col("p.fp"))).select(F.col("node").alias("a"), F.col("p.node").alias("b"))
-    edges = scratch.keep(edges.unionByName(by_pivot.distinct()))
+    by_pivot = hot.join(pivot, "k").where((F.col("node") != F.col("p.node")) & alike(F.col("n"), F.col("p.n")) & apart(F.col("fp"), F.col("p.fp"), F.col("n"), F.col("p.n"))).select(F.col("node").alias("a"), F.col("p.node").alias("b"))
+    edges = scratch.keep(edges.unionByName(verified(scratch.keep(by_pivot.distinct()), sets, similarity)))
     label = components(edges, scratch)
     hot = scratch.keep(hot.join(label, "node", "left").withColumn("label", F.coalesce("label", "node")))
     bulk = hot.groupBy("k", "label").agg(F.count("*").alias("c")).groupBy("k").agg(F.max_by("label", F.struct("c", "label")).alias("bulk"))
     rest = hot.join(bulk, "k").where("label <> bulk").select("k", F.col("node").alias("a"), F.col("n").alias("na"), F.col("fp").alias("fa"), F.col("label").alias("la"), "bulk")
     every = hot.select("k", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("fp").alias("fb"), F.col("label").alias("lb"))
     once = (F.col("lb") == F.col("bulk")) | (F.col("a") < F.col("b"))
-    others = rest.join(every, "k").where((F.col("la") != F.col("lb")) & once & alike(F.col("na"), F.col("nb")) & apart(F.col("fa"), F.col("fb"))).select("a", "b").distinct()
-    return edges.unionByName(others)
+    others = rest.join(every, "k").where((F.col("la") != F.col("lb")) & once & alike(F.col("na"), F.col("nb")) & apart(F.col("fa"), F.col("fb"), F.col("na"), F.col("nb"))).select("a", "b").distinct()
+    return edges.unionByName(verified(scratch.keep(others), sets, similarity))
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -204,10 +226,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, do
     Null and empty texts are alike. Repeated rows have one label each time. An empty table gives no rows.
     """
     scratch = Scratch(docs.sparkSession)
-    width, blocks = plan_blocks(docs.count(), similarity)
-    made = scratch.keep(_wide(docs, words, width, blocks, doc_id, text))
+    width, blocks, tiny = plan_blocks(docs.count(), similarity)
+    made = scratch.keep(_wide(docs, words, width, blocks, tiny, doc_id, text))
     nodes = scratch.keep(made.groupBy("node").agg(F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("keys").alias("keys")))
-    label = components(near_links(nodes, width, blocks, similarity, scratch), scratch)
+    label = components(near_links(nodes, made.select("node", "shingles"), similarity, scratch), scratch)
     return scratch.keep(made.select("doc_id", "th", "node").join(label, "node", "left").withColumn("label", F.coalesce("label", "node")))
 
 

@@ -183,6 +183,36 @@ def test_near_duplicates(spark, monkeypatch, limit):
     assert left == {10 * k for k in range(40)} | {1000 + k for k in range(50)}
 
 
+def shingled(at, n, vocab):
+    """A text of n shingles of its own, whose words name the place."""
+    return " ".join(vocab[(at + i) % len(vocab)] for i in range(n + 4))
+
+
+def brute_shingles(text):
+    w = words(ascii_lower(text))
+    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or {tuple(w)}
+
+
+@pytest.mark.parametrize("width", [8, 20])
+def test_near_duplicates_verdict(spark, monkeypatch, width):
+    """Pairs of 0.7 to 0.85 against brute force, with the blocks of few and of many texts."""
+    plan = simhash.plan_blocks
+    monkeypatch.setattr(simhash, "plan_blocks", lambda texts, similarity: plan(2 ** (width + 4), similarity))
+    vocab, rows, at = vocabulary(80_000, 5), [], 0
+    for k in range(60):
+        for n, m in ((70, 100), (75, 100), (79, 100), (80, 100), (85, 100)):
+            rows += [(len(rows), shingled(at, n, vocab)), (len(rows) + 1, shingled(at, m, vocab))]
+            at += m + 4
+    label = {r.doc_id: r.label for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    found = similar = 0
+    for (i, x), (j, y) in zip(rows[::2], rows[1::2], strict=True):
+        x, y = brute_shingles(x), brute_shingles(y)
+        alike = 5 * len(x & y) >= 4 * len(x | y)
+        assert alike or label[i] != label[j]
+        similar, found = similar + alike, found + (alike and label[i] == label[j])
+    assert similar == 120 and found >= 0.98 * similar
+
+
 def test_near_duplicates_edges(spark):
     got = simhash.drop_near_duplicates(nasty(spark, 2))
     assert got.columns == [c.split()[0] for c in DOCS.split(", ")]
