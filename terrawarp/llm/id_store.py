@@ -15,7 +15,7 @@ more than once from each other task. Recipes are a few bytes a chunk.
 Reading verifies: each chunk against its key, each recipe against its root, each part against the manifest.
 
 Defined results
-* Null text counts as empty: its stream is the end id alone. Null doc_ids come first, each a document of its own.
+* Null text counts as empty: its stream is the end id alone, or nothing without one. Null doc_ids come first, each a document of its own.
 * Repeated rows are documents of their own with the same recipe; rows of one doc_id are ordered by content.
 * Very long texts are streams of many chunks. An empty table gives an empty store. Extra columns are not stored.
 """
@@ -205,7 +205,8 @@ def _parts(docs: DataFrame) -> DataFrame:
 
 
 def _recipes(spark: SparkSession, store: str) -> DataFrame:
-    """(doc_id, start, n_tokens, root, pos, key) of every chunk reference; raises where a manifest does not hold."""
+    """(doc_id, start, n_tokens, pos, key) of every chunk reference, and a row of null pos for each document without
+    ids, whose key no chunk has; raises where a manifest does not hold."""
     docs = spark.read.schema("doc_id long, start long, n_tokens long, chunks binary, root binary").parquet(f"{store}/docs")
     was = spark.read.schema("part string, docs long, n_tokens long, root binary").parquet(f"{store}/manifest")
     now = _parts(docs)
@@ -221,8 +222,9 @@ def _recipes(spark: SparkSession, store: str) -> DataFrame:
             yield batch
 
     docs = docs.mapInArrow(checked, docs.schema)
-    at = F.sequence(F.lit(0), F.greatest(F.octet_length("chunks") / KEY - 1, F.lit(0)).cast("int"))
-    return docs.select("doc_id", "start", "n_tokens", F.explode(at).alias("pos"), "chunks").select("doc_id", "start", "n_tokens", "pos", F.expr(f"substring(chunks, pos * {KEY} + 1, {KEY})").alias("key"))
+    at = F.when(F.octet_length("chunks") > 0, F.sequence(F.lit(0), F.greatest(F.octet_length("chunks") / KEY - 1, F.lit(0)).cast("int")))
+    key = F.coalesce(F.expr(f"substring(chunks, pos * {KEY} + 1, {KEY})"), F.unhex(F.hex(F.xxhash64("start", "doc_id"))))
+    return docs.select("doc_id", "start", "n_tokens", F.explode_outer(at).alias("pos"), "chunks").select("doc_id", "start", "n_tokens", "pos", key.alias("key"))
 
 
 def _verified(batches, give):
@@ -238,9 +240,12 @@ def _verified(batches, give):
 
 
 def _joined(chunks: DataFrame, recipes: DataFrame, fields: list[str]) -> DataFrame:
-    """One row a document with its chunks' fields in order. Starts are distinct where documents have ids."""
+    """One row a document with its chunks' fields in order. Starts are distinct where documents have ids; documents
+    without are equal in all they have, and come as often as they stand."""
     got = recipes.join(chunks, "key", "left")
-    return got.groupBy("start", "doc_id", "n_tokens").agg(F.sort_array(F.collect_list(F.struct("pos", *fields))).alias("got"))
+    refs, bare = F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", *fields))), F.count(F.when(F.col("pos").isNull(), 1))
+    met = got.groupBy("start", "doc_id", "n_tokens").agg(F.sort_array(refs).alias("got"), F.greatest(bare, F.lit(1)).alias("c"))
+    return met.select("start", "doc_id", "n_tokens", "got", F.explode(F.array_repeat(F.lit(0), F.col("c").cast("int"))).alias("c")).drop("c")
 
 
 def read_ids(spark: SparkSession, store: str) -> DataFrame:

@@ -440,6 +440,16 @@ def test_id_store(spark, tokenizers_files, tmp_path):
     assert id_store.read_digests(spark, none).count() == 0
 
 
+def test_id_store_without_end_id(spark, tokenizers_files, tmp_path):
+    docs = spark.createDataFrame([(1, ""), (1, ""), (2, None), (3, "a b"), (4, ""), (None, ""), (None, None)], "doc_id long, text string")
+    store, encode = str(tmp_path / "store"), reference_encoder(tokenizers_files)
+    id_store.write_store(docs, store, tokenizers_files.path("byte_bpe_50k.json"))
+    want = collections.Counter((r.doc_id, tuple(encode(r.text or ""))) for r in docs.collect())
+    assert collections.Counter((r.doc_id, tuple(r.ids)) for r in id_store.read_ids(spark, store).collect()) == want
+    got = collections.Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in id_store.read_digests(spark, store).collect())
+    assert got == collections.Counter((i, len(t), zlib.crc32(np.array(t, dtype="<u4").tobytes())) for i, t in want.elements())
+
+
 def test_id_store_notices_damage(spark, tokenizers_files, tmp_path):
     store = str(tmp_path / "store")
     id_store.write_store(nasty(spark), store, tokenizers_files.path("byte_bpe_50k.json"))
