@@ -1,9 +1,10 @@
 """Byte-level BPE encoding and decoding with the tokenizers library over Arrow batches.
 
 Text is split where the pattern always splits: before a single space that a non-space follows, and before a line
-end that stands alone or in a pair. Each such part is encoded once by the library and remembered in the worker (a
-bounded memo of parts, not of documents); a text with other runs of white space goes to the library whole. Both give
-the ids of the whole text.
+end that stands alone or in a pair. The distinct parts of a block of texts are found by Arrow; each is encoded once by
+the library and remembered in the worker (a bounded memo of parts, not of documents), and the ids of all texts are
+gathered from those of the parts. A text with other runs of white space goes to the library whole. Both give the ids
+of the whole text.
 
 Decoding reverses the byte table: every id names a string of stand-in characters, each stand-in is one byte, and
 the bytes of all ids are joined before they are read as UTF-8, so characters split between ids come out whole.
@@ -24,18 +25,39 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import free_name, table
 
-#: Parts that a worker remembers, and the longest part that it does; then the memo starts anew.
+#: Parts that a worker remembers, in two halves, and the longest part that it does.
 MEMO_PARTS, MEMO_LENGTH = 500_000, 64
 #: Spaces that do not stand alone before a non-space, and line ends in longer or mixed runs.
 _MIXED = re.compile(r" (?=\s|\Z)|\n(?!\n?\S|\Z)")
-#: How many letters of new parts go into one call of the library.
-_CALL = 4000
+_FIRST = re.compile(r"[ \n]|\Z")
+#: How many letters of new parts go into one call of the library, and how many bytes of texts are worked on at once.
+_CALL, BLOCK_BYTES = 4000, 8_000_000
+
+
+def blocks(texts: pa.Array, most: int = BLOCK_BYTES):
+    """Slices of a batch of texts with a bounded number of bytes, one text at least."""
+    sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0)).astype(np.int64)
+    at, ends = 0, np.cumsum(sizes)
+    while at < len(sizes):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, side="right")))
+        yield slice(at, to)
+        at = to
+
+
+def gathered(flat: np.ndarray, lengths: np.ndarray, picks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of `flat` (one after another, of these lengths) that `picks` names, one after another, and the places
+    at which each begins and the last ends."""
+    n = lengths[picks]
+    to = np.concatenate([[0], np.cumsum(n)])
+    shift = (np.cumsum(lengths) - lengths)[picks] - to[:-1]
+    return flat[np.arange(to[-1]) + np.repeat(shift, n)], to
 
 
 def byte_table() -> list[str]:
@@ -58,75 +80,102 @@ def _spaced(part: str) -> str:
     return part if part[0] == "\n" else " " + part
 
 
+class Memo(dict):
+    """The ids of parts. When the younger half is full it becomes the older one, which is let go; a part found in the
+    older half moves to the younger. A part found in neither reads as None and is listed in `new`."""
+
+    def __init__(self):
+        self.older: dict[str, bytes] = {}
+        self.new: list[str] = []
+
+    def __missing__(self, part: str) -> bytes | None:
+        found = self.older.get(part)
+        if found is None:
+            self.new.append(part)
+        elif len(part) <= MEMO_LENGTH:
+            self[part] = found
+        return found
+
+    def age(self) -> None:
+        """Lets the older half go if the younger is full."""
+        if len(self) > MEMO_PARTS // 2:
+            self.older = dict(self)
+            self.clear()
+
+
 class Codec:
-    """Encoder and decoder of one vocabulary: ids as little-endian unsigned 32-bit integers."""
+    """Encoder and decoder of one vocabulary: ids as unsigned 32-bit integers."""
 
     def __init__(self, tokenizer, id_bytes: list[bytes]):
         self.tokenizer = tokenizer
         tokenizer.encode_special_tokens = True
         self.id_bytes = id_bytes
         self.lengths = np.array([len(b) for b in id_bytes], dtype=np.int64)
-        self.memo: dict[str, bytes] = {}
+        self.flat = np.frombuffer(b"".join(id_bytes), dtype=np.uint8)
+        self.memo = Memo()
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _learn(self, parts: list[str]) -> None:
-        """Encodes new parts, each after its space or line end, many in one call; byte lengths tell their ids apart."""
-        block: list[str] = []
-        blocks, n = [block], 0
-        for p in parts:
-            if n > _CALL:
-                block, n = [], 0
-                blocks.append(block)
-            block.append(_spaced(p))
-            n += len(p) + 1
-        for b, e in zip(blocks, self.tokenizer.encode_batch_fast(list(map("".join, blocks)), add_special_tokens=False), strict=True):
-            ids = np.array(e.ids, dtype="<u4")
-            ends = np.cumsum([len(p.encode()) for p in b])
-            cut = np.searchsorted(np.cumsum(self.lengths[ids]), ends, side="left") + 1
-            raw, at = ids.tobytes(), 0
-            for p, to in zip(b, (cut * 4).tolist(), strict=True):
-                self.memo[p[p[0] == " " :]] = raw[at:to]
-                at = to
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text."""
-        split = [None if _MIXED.search(t) else t.replace("\n", " \n").split(" ") for t in texts]
-        new: set[str] = set()
-        for parts in split:
-            if parts is not None:
-                new.update(parts[1:])
-        new = {p for p in new - self.memo.keys() if len(p) <= MEMO_LENGTH}
-        if len(self.memo) + len(new) > MEMO_PARTS:
-            self.memo = {}
-            new = {p for parts in split if parts is not None for p in parts[1:] if len(p) <= MEMO_LENGTH}
-        if new:
-            self._learn(list(new))
-        out, memo = [], self.memo
-        for t, parts in zip(texts, split, strict=True):
-            if parts is None:
-                out.append(self.whole(t))
-                continue
-            got = [self.whole(parts[0]) if parts[0] else b"", *map(memo.get, parts[1:])]
-            if None in got:
-                got = [g if g is not None else self.whole(_spaced(p)) for g, p in zip(got, parts, strict=True)]
-            out.append(b"".join(got))
-        return out
-
-    def decode(self, ids: bytes) -> bytes:
-        found = np.frombuffer(ids, dtype="<u4")
-        if len(found) and int(found.max()) >= len(self.id_bytes):
+    def _learned(self, parts: list[str]) -> list[bytes]:
+        """The ids of parts, each after its space or line end, many in one call; byte lengths tell their ids apart."""
+        sizes = np.asarray(pc.binary_length(pa.array(parts, pa.string()))).astype(np.int64) + 1
+        sizes -= np.fromiter((p[:1] == "\n" for p in parts), dtype=np.int64, count=len(parts))
+        call = np.cumsum(sizes) // _CALL
+        edges = [0, *(np.flatnonzero(np.diff(call)) + 1).tolist(), len(parts)]
+        spaced = list(map(_spaced, parts))
+        found = self.tokenizer.encode_batch_fast(["".join(spaced[a:b]) for a, b in zip(edges, edges[1:], strict=False)], add_special_tokens=False)
+        ids = np.concatenate([np.array(e.ids, dtype="<u4") for e in found])
+        to = (np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum(sizes), side="left") + 1) * 4
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip([0, *to.tolist()], to.tolist(), strict=False)]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after another, and the places at which each text's begin and the last's end. Null
+        texts are empty."""
+        rows = [t or "" for t in texts.to_pylist()]
+        mixed = [_MIXED.search(t) is not None for t in rows]
+        # a mixed text stands for itself: all of it is its first part
+        split = pc.split_pattern(pc.replace_substring(pa.array(["" if m else t for t, m in zip(rows, mixed, strict=True)], pa.large_string()), "\n", " \n"), " ")
+        starts = np.asarray(split.offsets)
+        parts = split.flatten().dictionary_encode()
+        distinct = pc.cast(parts.dictionary, pa.string()).to_numpy(zero_copy_only=False).tolist()
+        picks = np.asarray(parts.indices).astype(np.int64)
+        # first parts follow no space, so they are places of their own after the distinct parts
+        first = [t if m else t[: _FIRST.search(t).start()] for t, m in zip(rows, mixed, strict=True)]
+        picks[starts[:-1]] = len(distinct) + np.arange(len(rows))
+        uses = np.bincount(picks, minlength=len(distinct) + len(rows))[: len(distinct)]
+        memo = self.memo
+        got = [memo[p] if n else b"" for p, n in zip(distinct, uses.tolist(), strict=True)]
+        if memo.new:
+            learned = self._learned(memo.new)
+            where = [i for i, g in enumerate(got) if g is None]
+            for i, g in zip(where, learned, strict=True):
+                got[i] = g
+            # those used once here are the least likely to come again
+            again = (uses[where] > 1).tolist()
+            memo.update((p, g) for p, g, more in zip(memo.new, learned, again, strict=True) if more and len(p) <= MEMO_LENGTH)
+            memo.new = []
+        memo.age()
+        got += [self.whole(p) if p else b"" for p in first]
+        lengths = np.fromiter(map(len, got), dtype=np.int64, count=len(got)) // 4
+        ids, to = gathered(np.frombuffer(b"".join(got), dtype="<u4"), lengths, picks)
+        return ids, to[starts]
+
+    def decode(self, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes that ids stand for, and the places at which those of the id numbers `at` begin."""
+        if len(ids) and int(ids.max()) >= len(self.id_bytes):
             raise ValueError("an id is outside the vocabulary")
-        return b"".join(map(self.id_bytes.__getitem__, found.tolist()))
+        raw, to = gathered(self.flat, self.lengths, ids.astype(np.int64))
+        return raw, to[at]
 
-    def offsets(self, ids: bytes, text: str) -> np.ndarray:
+    def offsets(self, ids: np.ndarray, text: str) -> np.ndarray:
         """Where each id begins and ends in the text, in characters: rows (from, to). An id that holds a part of a
         character counts as reaching over all of it."""
         raw = np.frombuffer(text.encode(), dtype=np.uint8)
         starts = np.concatenate([(raw & 0xC0) != 0x80, [True]])
         char = np.cumsum(starts) - 1
-        end = np.cumsum(self.lengths[np.frombuffer(ids, dtype="<u4")])
+        end = np.cumsum(self.lengths[ids])
         begin = np.concatenate([[0], end[:-1]]).astype(np.int64) if len(end) else end
         return np.stack([char[begin], char[end] + ~starts[end]], axis=1) if len(end) else np.zeros((0, 2), np.int64)
 
@@ -165,18 +214,6 @@ def codec(path: str, pattern: str | None = None) -> Codec:
     return Codec(tokenizer, _id_bytes(tokenizer))
 
 
-def blocks(texts: list[str], most: int = 4_000_000):
-    """Slices of a batch with a bounded number of letters, one text at least."""
-    at, n = 0, 0
-    for i, t in enumerate(texts):
-        if n and n + len(t) > most:
-            yield slice(at, i)
-            at, n = i, 0
-        n += len(t)
-    if at < len(texts):
-        yield slice(at, len(texts))
-
-
 def encode(docs: DataFrame, path: str, pattern: str | None = None, text: str = "text", offsets: bool = False) -> DataFrame:
     """docs with ids array<int> and n_tokens long added, and with offsets array<struct<start,end>> in characters if
     asked for. No shuffle; a batch of rows at a time."""
@@ -192,17 +229,17 @@ def encode(docs: DataFrame, path: str, pattern: str | None = None, text: str = "
     def run(batches):
         c = codec(path, pattern)
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
+            texts = batch.column(batch.num_columns - 1)
             for s in blocks(texts):
-                some, ids = texts[s], c.encode(texts[s])
-                cols = [batch.column(i).slice(s.start, s.stop - s.start) for i in range(batch.num_columns - 1)]
-                flat = np.frombuffer(b"".join(ids), dtype="<i4")
-                n = np.array([len(i) // 4 for i in ids], dtype=np.int64)
-                at = pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
-                cols += [pa.ListArray.from_arrays(at, pa.array(flat, pa.int32())), pa.array(n)]
+                some = texts[s]
+                ids, at = c.encode(some)
+                cols = [batch.column(i)[s] for i in range(batch.num_columns - 1)]
+                where = pa.array(at.astype(np.int32))
+                cols += [pa.ListArray.from_arrays(where, pa.array(ids.view("<i4"), pa.int32())), pa.array(np.diff(at))]
                 if offsets:
-                    o = np.concatenate([c.offsets(i, x) for i, x in zip(ids, some, strict=True)]).astype(np.int32)
-                    cols.append(pa.ListArray.from_arrays(at, pa.StructArray.from_arrays([pa.array(o[:, 0]), pa.array(o[:, 1])], ["start", "end"])))
+                    each = [c.offsets(ids[a:b], t) for a, b, t in zip(at.tolist(), at[1:].tolist(), some.to_pylist(), strict=False)]
+                    o = np.concatenate(each).astype(np.int32)
+                    cols.append(pa.ListArray.from_arrays(where, pa.StructArray.from_arrays([pa.array(o[:, 0]), pa.array(o[:, 1])], ["start", "end"])))
                 yield pa.RecordBatch.from_arrays(cols, [*kept, *own])
 
     return source.mapInArrow(run, T.StructType([*[source.schema[c] for c in kept], *added]))
@@ -217,7 +254,7 @@ def decode(docs: DataFrame, path: str, pattern: str | None = None, ids: str = "i
     def run(batches):
         c = codec(path, pattern)
         for batch in batches:
-            found = [None if x is None else c.decode(np.array(x, dtype="<u4").tobytes()).decode("utf-8", "replace") for x in batch.column(at).to_pylist()]
+            found = [None if x is None else c.decode(np.array(x, dtype="<u4"), np.zeros(0, np.int64))[0].tobytes().decode("utf-8", "replace") for x in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], schema.names)
 
     return base.mapInArrow(run, schema)
@@ -233,13 +270,14 @@ def round_trip(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id",
     def run(batches):
         c, sha = codec(path, pattern), hashlib.sha256
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for s in blocks(texts):
-                ids = c.encode(texts[s])
-                cols = [batch.column(0).slice(s.start, s.stop - s.start), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array([sha(i).hexdigest() for i in ids], pa.string()), pa.array([sha(c.decode(i)).hexdigest() for i in ids], pa.string())]
+            for part in blocks(batch.column(1)):
+                ids, at = c.encode(batch.column(1)[part])
+                raw, to = c.decode(ids, at)
+                hashes = lambda x, edges: [sha(x[a:b]).hexdigest() for a, b in zip(edges.tolist(), edges[1:].tolist(), strict=False)]
+                own, back = hashes(memoryview(ids).cast("B"), 4 * at), hashes(memoryview(raw), to)
+                cols = [batch.column(0)[part], pa.array(np.diff(at)), pa.array(own, pa.string()), pa.array(back, pa.string())]
                 if with_ids:
-                    at = np.concatenate([[0], np.cumsum([len(i) // 4 for i in ids])]).astype(np.int32)
-                    cols.append(pa.ListArray.from_arrays(pa.array(at), pa.array(np.frombuffer(b"".join(ids), dtype="<i4"), pa.int32())))
+                    cols.append(pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids.view("<i4"), pa.int32())))
                 yield pa.RecordBatch.from_arrays(cols, schema.names)
 
     return source.mapInArrow(run, schema)

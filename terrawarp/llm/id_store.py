@@ -3,8 +3,8 @@
 Format (a folder):
 * chunks/  Parquet (key binary, data binary): every distinct run of ids once, named by the BLAKE2b-128 of its bytes
   (little-endian unsigned 32-bit integers). Stored bytes are 2 an id where all its ids fit, else 4.
-* docs/    Parquet in ascending order of doc_id (null first): doc_id, start, n_tokens, chunks (the recipe: keys
-  joined) and root (the Merkle root over the recipe's keys).
+* docs/    Parquet in ascending order of doc_id (null first): doc_id, start, n_tokens, chunks (the recipe: each chunk's
+  key and its number of ids in 4 bytes, joined) and root (the Merkle root over the recipe's entries).
 * manifest/ Parquet (part, docs, n_tokens, root): the Merkle root over the roots of each file part's documents.
 
 A rolling hash over the last 16 ids cuts each document's id stream where its top bits are zero, so equal passages
@@ -27,6 +27,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,7 +38,7 @@ from .common import Scratch, prefix_sum, table
 
 #: Chunks end where the rolling hash's top bits are zero: 512 ids on average, within these bounds.
 TOP_BITS, LEAST, MOST = 9, 64, 4096
-KEY = 16
+KEY, ENTRY = 16, 20
 
 
 def marks(ids: np.ndarray) -> np.ndarray:
@@ -53,23 +54,27 @@ def marks(ids: np.ndarray) -> np.ndarray:
     return np.flatnonzero(h >> np.uint32(32 - TOP_BITS) == 0) + 1
 
 
-def cuts(marked: np.ndarray, start: int, length: int) -> list[int]:
-    """Where the chunks of the stream of that place and length end, counted from its start."""
-    lo, hi = np.searchsorted(marked, (start + 1, start + length), side="left")
-    ends, last = [], 0
-    for at in (marked[lo:hi] - start).tolist():
-        while at - last > MOST:
+def cuts(marked: list[int], at: list[int]) -> list[list[int]]:
+    """Where the chunks of each stream end; streams lie one after another, at[i] to at[i + 1], and `marked` rises."""
+    out, k, n = [], 0, len(marked)
+    for last, stop in zip(at, at[1:], strict=False):
+        ends = []
+        while k < n and marked[k] < stop:
+            mark = marked[k]
+            k += 1
+            while mark - last > MOST:
+                last += MOST
+                ends.append(last)
+            if mark - last >= LEAST:
+                ends.append(mark)
+                last = mark
+        while stop - last > MOST:
             last += MOST
             ends.append(last)
-        if at - last >= LEAST:
-            ends.append(at)
-            last = at
-    while length - last > MOST:
-        last += MOST
-        ends.append(last)
-    if last < length:
-        ends.append(length)
-    return ends
+        if last < stop:
+            ends.append(stop)
+        out.append(ends)
+    return out
 
 
 def merkle(keys: list[bytes]) -> bytes:
@@ -83,8 +88,17 @@ def merkle(keys: list[bytes]) -> bytes:
     return level[0]
 
 
-def pack(ids: np.ndarray) -> bytes:
-    return b"\2" + ids.astype("<u2").tobytes() if not len(ids) or int(ids.max()) < 65536 else b"\4" + ids.astype("<u4").tobytes()
+def recipe_root(recipe: bytes) -> bytes:
+    return merkle([recipe[i : i + ENTRY] for i in range(0, len(recipe), ENTRY)])
+
+
+def packer(ids: np.ndarray, edges: np.ndarray):
+    """A function of (from, to) that packs the ids between two neighbouring edges: 2 bytes an id where all fit."""
+    narrow, wide = memoryview(ids.astype("<u2")).cast("B"), memoryview(ids.astype("<u4")).cast("B")
+    if not len(ids) or int(ids.max()) < 65536:
+        return lambda a, b: b"\2" + narrow[2 * a : 2 * b]
+    large = set(edges[:-1][np.maximum.reduceat(ids, edges[:-1]) >= 65536].tolist())
+    return lambda a, b: b"\4" + wide[4 * a : 4 * b] if a in large else b"\2" + narrow[2 * a : 2 * b]
 
 
 def unpack(data: bytes) -> np.ndarray:
@@ -107,16 +121,39 @@ def _crc_tables(power: int, known: dict[int, list[list[int]]] = {}) -> list[list
     return known[power]
 
 
-def crc_join(a: int, b: int, length: int) -> int:
-    """The CRC-32 of two runs of bytes from theirs; length: of the second."""
-    power = 0
-    while length:
-        if length & 1:
-            t = _crc_tables(power)
-            a = t[0][a & 255] ^ t[1][a >> 8 & 255] ^ t[2][a >> 16 & 255] ^ t[3][a >> 24]
-        length >>= 1
+def crc_before(crcs: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """What each run of bytes, by its CRC-32, adds to that of a whole in which so many bytes follow it: the CRC-32 of
+    the whole is the exclusive or over its runs."""
+    crcs, power = crcs.astype(np.int64), 0
+    while len(lengths) and int(lengths.max()) >> power:
+        at = np.flatnonzero(lengths >> power & 1)
+        t, v = np.array(_crc_tables(power), dtype=np.int64), crcs[at]
+        crcs[at] = t[0][v & 255] ^ t[1][v >> 8 & 255] ^ t[2][v >> 16 & 255] ^ t[3][v >> 24]
         power += 1
-    return a ^ b
+    return crcs
+
+
+def chunked(ids: np.ndarray, at: np.ndarray, seen: set[bytes]) -> tuple[tuple[list, list, list], list[bytes]]:
+    """The chunks (keys, lengths, packed ids) of a run of streams that are not in `seen`, which they join, and the
+    recipe of each stream: each of its chunks' keys, followed by its length in 4 bytes."""
+    ends = cuts(marks(ids).tolist(), at.tolist())
+    edges = np.unique(np.concatenate([at[:1], np.array([e for x in ends for e in x], dtype=np.int64)]))
+    pack, raw, blake = packer(ids, edges), memoryview(ids).cast("B"), hashlib.blake2b
+    keys, sizes, data, recipes = [], [], [], []
+    for start, stops in zip(at.tolist(), ends, strict=False):
+        recipe = []
+        for stop in stops:
+            key = blake(raw[4 * start : 4 * stop], digest_size=KEY).digest()
+            recipe.append(key)
+            recipe.append((stop - start).to_bytes(4, "little"))
+            if key not in seen:
+                seen.add(key)
+                keys.append(key)
+                sizes.append(stop - start)
+                data.append(pack(start, stop))
+            start = stop
+        recipes.append(b"".join(recipe))
+    return (keys, sizes, data), recipes
 
 
 def write_store(docs: DataFrame, to: str, path: str, pattern: str | None = None, end_id: int | None = None, doc_id: str = "doc_id", text: str = "text") -> None:
@@ -128,31 +165,21 @@ def write_store(docs: DataFrame, to: str, path: str, pattern: str | None = None,
     schema = "kind int, key binary, doc_id long, n long, data binary"
 
     def run(batches):
-        c, seen, task, row = codec(path, pattern), set(), TaskContext.get().partitionId(), 0
-        tail = b"" if end_id is None else np.array([end_id], dtype="<u4").tobytes()
+        c, seen, task, row = codec(path, pattern), set(), TaskContext.get().partitionId().to_bytes(8, "big"), 0
         for batch in batches:
-            ids_of, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for s in blocks(texts):
-                out = []
-                streams, start = [raw + tail for raw in c.encode(texts[s])], 0
-                every = np.frombuffer(b"".join(streams), dtype="<u4")
-                marked = marks(every)
-                for d, raw in zip(ids_of[s], streams, strict=True):
-                    n, at, recipe = len(raw) // 4, 0, []
-                    for end in cuts(marked, start, n):
-                        key = hashlib.blake2b(raw[4 * at : 4 * end], digest_size=KEY).digest()
-                        recipe.append(key)
-                        if key not in seen:
-                            seen.add(key)
-                            out.append((0, key, None, end - at, pack(every[start + at : start + end])))
-                        at = end
-                    out.append((1, task.to_bytes(8, "big") + row.to_bytes(8, "big"), d, n, b"".join(recipe)))
-                    start += n
-                    row += 1
-                    if len(seen) > 1_000_000:
-                        seen = set()
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), (pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names)
+            for part in blocks(batch.column(1)):
+                if len(seen) > 1_000_000:
+                    seen.clear()
+                ids, at = c.encode(batch.column(1)[part])
+                if end_id is not None:
+                    ids, at = np.insert(ids, at[1:], end_id), at + np.arange(len(at))
+                chunks, recipes = chunked(ids, at, seen)
+                docs = len(recipes)
+                names_of = [task + i.to_bytes(8, "big") for i in range(row, row + docs)]
+                row += docs
+                for kind, cols in ((0, [*chunks[:1], pa.nulls(len(chunks[0]), pa.int64()), *chunks[1:]]), (1, [names_of, batch.column(0)[part], np.diff(at), recipes])):
+                    if len(cols[0]):
+                        yield pa.RecordBatch.from_arrays([pa.array([kind] * len(cols[0]), pa.int32()), *[pa.array(x, k) for x, k in zip(cols, (pa.binary(), pa.int64(), pa.int64(), pa.binary()), strict=True)]], names)
 
     def once(batches):
         seen: set[bytes] = set()
@@ -181,7 +208,7 @@ def write_store(docs: DataFrame, to: str, path: str, pattern: str | None = None,
 
     def rooted(batches):
         for batch in batches:
-            roots = [merkle([r[i : i + KEY] for i in range(0, len(r), KEY)]) for r in batch.column(3).to_pylist()]
+            roots = [recipe_root(r) for r in batch.column(3).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(roots, pa.binary())], ["doc_id", "start", "n_tokens", "chunks", "root"])
 
     listed = placed.select("doc_id", "start", F.col("n").alias("n_tokens"), F.col("data").alias("chunks"), "key")
@@ -204,9 +231,10 @@ def _parts(docs: DataFrame) -> DataFrame:
     return named.groupBy("part").applyInArrow(root, "part string, docs long, n_tokens long, root binary")
 
 
-def _recipes(spark: SparkSession, store: str) -> DataFrame:
-    """(doc_id, start, n_tokens, pos, key) of every chunk reference, and a row of null pos for each document without
-    ids, whose key no chunk has; raises where a manifest does not hold."""
+def _recipes(spark: SparkSession, store: str) -> tuple[DataFrame, DataFrame]:
+    """Every chunk reference (doc_id, start, n_tokens, tail, key, n): the chunk's ids, and those after it in its
+    document; and the documents without ids (doc_id, start, n_tokens). Raises where a manifest or root does not hold.
+    The starts of documents with ids are distinct."""
     docs = spark.read.schema("doc_id long, start long, n_tokens long, chunks binary, root binary").parquet(f"{store}/docs")
     was = spark.read.schema("part string, docs long, n_tokens long, root binary").parquet(f"{store}/manifest")
     now = _parts(docs)
@@ -214,17 +242,23 @@ def _recipes(spark: SparkSession, store: str) -> DataFrame:
     if broken.take(1):
         raise ValueError("the store's documents do not match its manifest")
 
-    def checked(batches):
+    def refer(batches):
         for batch in batches:
-            for r, root in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
-                if merkle([r[i : i + KEY] for i in range(0, len(r), KEY)]) != root:
-                    raise ValueError("a recipe does not match its root")
-            yield batch
-
-    docs = docs.mapInArrow(checked, docs.schema)
-    at = F.when(F.octet_length("chunks") > 0, F.sequence(F.lit(0), F.greatest(F.octet_length("chunks") / KEY - 1, F.lit(0)).cast("int")))
-    key = F.coalesce(F.expr(f"substring(chunks, pos * {KEY} + 1, {KEY})"), F.unhex(F.hex(F.xxhash64("start", "doc_id"))))
-    return docs.select("doc_id", "start", "n_tokens", F.explode_outer(at).alias("pos"), "chunks").select("doc_id", "start", "n_tokens", "pos", key.alias("key"))
+            recipes = batch.column(3).to_pylist()
+            if any(recipe_root(r) != root for r, root in zip(recipes, batch.column(4).to_pylist(), strict=True)):
+                raise ValueError("a recipe does not match its root")
+            size = np.array([len(r) // ENTRY for r in recipes], dtype=np.int64)
+            entries = np.frombuffer(b"".join(recipes), dtype=np.dtype([("key", f"V{KEY}"), ("n", "<u4")]))
+            doc, n = np.repeat(np.arange(len(recipes)), size), entries["n"].astype(np.int64)
+            total = np.asarray(batch.column(2))
+            if not np.array_equal(np.bincount(doc, weights=n, minlength=len(total)).astype(np.int64), total):
+                raise ValueError("a document's chunks do not have its length")
+            tail = np.cumsum(total)[doc] - np.cumsum(n)
+            keys = pa.FixedSizeBinaryArray.from_buffers(pa.binary(KEY), len(n), [None, pa.py_buffer(np.ascontiguousarray(entries["key"]).tobytes())])
+            own = [batch.column(i).take(pa.array(doc)) for i in range(3)]
+            yield pa.RecordBatch.from_arrays([*own, pa.array(tail), keys.cast(pa.binary()), pa.array(n)], ["doc_id", "start", "n_tokens", "tail", "key", "n"])
+
+    return docs.mapInArrow(refer, "doc_id long, start long, n_tokens long, tail long, key binary, n long"), docs.where("n_tokens = 0").select("doc_id", "start", "n_tokens")
 
 
 def _verified(batches, give):
@@ -239,32 +273,39 @@ def _verified(batches, give):
         yield pa.RecordBatch.from_pylist(out) if out else None
 
 
-def _joined(chunks: DataFrame, recipes: DataFrame, fields: list[str]) -> DataFrame:
-    """One row a document with its chunks' fields in order. Starts are distinct where documents have ids; documents
-    without are equal in all they have, and come as often as they stand."""
-    got = recipes.join(chunks, "key", "left")
-    refs, bare = F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", *fields))), F.count(F.when(F.col("pos").isNull(), 1))
-    met = got.groupBy("start", "doc_id", "n_tokens").agg(F.sort_array(refs).alias("got"), F.greatest(bare, F.lit(1)).alias("c"))
-    return met.select("start", "doc_id", "n_tokens", "got", F.explode(F.array_repeat(F.lit(0), F.col("c").cast("int"))).alias("c")).drop("c")
+def _met(chunks: DataFrame, refs: DataFrame) -> DataFrame:
+    """References with what their chunks have; a chunk that the store lacks has null in the column `known`."""
+    return refs.join(chunks.withColumnRenamed("n", "known"), "key", "left")
+
+
+def _check(batch: pa.RecordBatch) -> None:
+    if not pc.all(pc.fill_null(pc.equal(batch.column("n"), batch.column("known")), False)).as_py() and batch.num_rows:
+        raise ValueError("the store lacks a chunk")
 
 
 def read_ids(spark: SparkSession, store: str) -> DataFrame:
     """doc_id, start, n_tokens and ids array<int>, put together from verified chunks; the ids cross the network once."""
 
     def run(batches):
-        for b in _verified(batches, lambda k, i, r: {"key": k, "ids": r}):
+        for b in _verified(batches, lambda k, i, r: {"key": k, "n": len(i), "ids": r}):
             if b is not None:
                 yield b
 
-    chunks = spark.read.schema("key binary, data binary").parquet(f"{store}/chunks").mapInArrow(run, "key binary, ids binary")
-    docs = _joined(chunks, _recipes(spark, store), ["ids"])
-
     def whole(batches):
         for batch in batches:
-            ids = [np.frombuffer(b"".join(x["ids"] for x in got), dtype="<i4").tolist() for got in batch.column(3).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(0), batch.column(2), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "start", "n_tokens", "ids"])
+            parts = batch.column("got").to_pylist()
+            if any(x["known"] != x["n"] for got in parts for x in got):
+                raise ValueError("the store lacks a chunk")
+            ids = [np.frombuffer(b"".join(x["ids"] for x in got), dtype="<i4") for got in parts]
+            at = pa.array(np.concatenate([[0], np.cumsum(list(map(len, ids)))]).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.ListArray.from_arrays(at, pa.array(np.concatenate(ids), pa.int32()))], ["doc_id", "start", "n_tokens", "ids"])
 
-    return docs.mapInArrow(whole, "doc_id long, start long, n_tokens long, ids array<int>")
+    chunks = spark.read.schema("key binary, data binary").parquet(f"{store}/chunks").mapInArrow(run, "key binary, n long, ids binary")
+    refs, bare = _recipes(spark, store)
+    order = F.struct((-F.col("tail")).alias("at"), "n", "known", "ids")
+    got = _met(chunks, refs).groupBy("doc_id", "start", "n_tokens").agg(F.sort_array(F.collect_list(order)).alias("got"))
+    schema = "doc_id long, start long, n_tokens long, ids array<int>"
+    return got.mapInArrow(whole, schema).unionByName(bare.withColumn("ids", F.array().cast("array<int>")))
 
 
 def read_digests(spark: SparkSession, store: str) -> DataFrame:
@@ -277,24 +318,17 @@ def read_digests(spark: SparkSession, store: str) -> DataFrame:
             if b is not None:
                 yield b
 
-    chunks = spark.read.schema("key binary, data binary").parquet(f"{store}/chunks").mapInArrow(run, "key binary, n long, crc long")
-    docs = _joined(chunks, _recipes(spark, store), ["n", "crc"])
+    def share(batches):
+        for b in batches:
+            _check(b)
+            own = crc_before(np.asarray(b.column("crc")), 4 * np.asarray(b.column("tail")))
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("doc_id", "start", "n_tokens")), pa.array(own)], ["doc_id", "start", "n_tokens", "crc"])
 
-    def whole(batches):
-        for batch in batches:
-            crcs = []
-            for got, n in zip(batch.column(3).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                crc, total = 0, 0
-                for x in got:
-                    if x["n"] is None:
-                        raise ValueError("the store lacks a chunk")
-                    crc, total = crc_join(crc, x["crc"], 4 * x["n"]), total + x["n"]
-                if total != n:
-                    raise ValueError("a document's chunks do not have its length")
-                crcs.append(crc)
-            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(0), batch.column(2), pa.array(crcs, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
-
-    return docs.mapInArrow(whole, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    chunks = spark.read.schema("key binary, data binary").parquet(f"{store}/chunks").mapInArrow(run, "key binary, n long, crc long")
+    refs, bare = _recipes(spark, store)
+    shares = _met(chunks, refs).select("doc_id", "start", "n_tokens", "tail", "n", "known", "crc").mapInArrow(share, "doc_id long, start long, n_tokens long, crc long")
+    got = shares.groupBy("doc_id", "start", "n_tokens").agg(F.bit_xor("crc").alias("ids_crc32"))
+    return got.unionByName(bare.withColumn("ids_crc32", F.lit(0).cast("long")))
 
 
 def op7_id_store(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -382,19 +383,27 @@ def test_bpe_equals_the_rank_library(tokenizers_files):
     alphabet = list(" \n\tab'1é! \x1c日　") + ["don't", "  ", "\n\n", "ing "]
     texts = [t or "" for t in NASTY] + ["a\nb", "x\n\n\ny", "a\n", "a\n\n", "\na", "a\n b", "a\t\nb", " a", "a ", "!!!\x1f!! "] + ["".join(rng.choice(alphabet, size=rng.integers(1, 25))) for _ in range(3000)]
     for c in (bpe.codec(tokenizers_files.path("byte_bpe_50k.tiktoken"), tokenizers_files.PATTERN), bpe.codec(tokenizers_files.path("byte_bpe_50k.json"))):
-        got = c.encode(texts)
-        assert [np.frombuffer(g, dtype="<u4").tolist() for g in got] == [want(t) for t in texts]
-        assert [c.decode(g).decode() for g in got] == texts
+        ids, at = c.encode(pa.array(texts, pa.string()))
+        assert [x.tolist() for x in np.split(ids, at[1:-1])] == [want(t) for t in texts]
+        raw, to = c.decode(ids, at)
+        assert [x.tobytes().decode() for x in np.split(raw, to[1:-1])] == texts
         with pytest.raises(ValueError):
-            c.decode(np.array([10**6], dtype="<u4").tobytes())
+            c.decode(np.array([10**6], dtype="<u4"), at)
 
 
-def test_bpe_memo_starts_anew(tokenizers_files, monkeypatch):
-    monkeypatch.setattr(bpe, "MEMO_PARTS", 3)
+def test_bpe_memo_forgets(tokenizers_files, monkeypatch):
+    monkeypatch.setattr(bpe, "MEMO_PARTS", 4)
     c = bpe.Codec(bpe.codec(tokenizers_files.path("byte_bpe_50k.json")).tokenizer, bpe.codec(tokenizers_files.path("byte_bpe_50k.json")).id_bytes)
     want = reference_encoder(tokenizers_files)
-    for t in ("one two three four five", "six seven eight", "one six nine ten", "y" * 99 + " z"):
-        assert np.frombuffer(c.encode([t])[0], dtype="<u4").tolist() == want(t)
+    for t in ("one two three four two three four", "two six six seven seven eight", "one six nine ten", " ".join(["y" * 99, "z", "y" * 99, "y" * 99]), "", "two three"):
+        assert c.encode(pa.array([t, None, t]))[0].tolist() == want(t) * 2
+        assert len(c.memo) <= 2 and not any(len(p) > bpe.MEMO_LENGTH for p in c.memo | c.memo.older)
+
+
+def test_bpe_blocks():
+    texts = pa.array(["aaaa", None, "bb", "c" * 20, "", "d"])
+    cut = [(s.start, s.stop) for s in bpe.blocks(texts, 6)]
+    assert cut == [(0, 3), (3, 4), (4, 6)] and not list(bpe.blocks(texts[:0], 6))
 
 
 def test_encode_decode_frames(spark, tokenizers_files):
@@ -459,11 +468,13 @@ def test_id_store_notices_damage(spark, tokenizers_files, tmp_path):
         id_store.read_digests(spark, store)
 
 
-def test_crc_join():
+def test_crc_of_runs():
     rng = random.Random(1)
     for _ in range(200):
-        a, b = rng.randbytes(rng.randrange(40)), rng.randbytes(rng.randrange(3000))
-        assert id_store.crc_join(zlib.crc32(a), zlib.crc32(b), len(b)) == zlib.crc32(a + b)
+        runs = [rng.randbytes(rng.randrange(900)) for _ in range(rng.randint(1, 6))]
+        tails = np.array([sum(map(len, runs[i + 1 :])) for i in range(len(runs))], dtype=np.int64)
+        own = id_store.crc_before(np.array(list(map(zlib.crc32, runs))), tails)
+        assert int(np.bitwise_xor.reduce(own)) == zlib.crc32(b"".join(runs))
 
 
 def test_url_rules(spark):
