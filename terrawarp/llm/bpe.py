@@ -34,11 +34,9 @@ from .common import free_name, table
 
 #: Parts that a worker remembers, in two halves, and the longest part that it does.
 MEMO_PARTS, MEMO_LENGTH = 500_000, 64
-#: Spaces that do not stand alone before a non-space, and line ends in longer or mixed runs.
-_MIXED = re.compile(r" (?=\s|\Z)|\n(?!\n?\S|\Z)")
 _FIRST = re.compile(r"[ \n]|\Z")
 #: How many letters of new parts go into one call of the library, and how many bytes of texts are worked on at once.
-_CALL, BLOCK_BYTES = 4000, 8_000_000
+_CALL, BLOCK_BYTES = 2000, 8_000_000
 
 
 def blocks(texts: pa.Array, most: int = BLOCK_BYTES):
@@ -75,6 +73,28 @@ def _merges(ranks: dict[bytes, int]) -> list[tuple[bytes, bytes]]:
     return [(t[:i], t[i:]) for t, _ in sorted(ranks.items(), key=lambda x: x[1]) for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
 
 
+def _mixed(column: pa.Array, parts: list[str], picks: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Which texts have white space elsewhere than where the pattern always splits, by their parts (an Arrow column and
+    a list of the same): a part after the first that is empty or begins with white space, but for a line end before a
+    non-space, and for a line end alone that ends the text or stands before such a part. `picks` has the parts of all
+    texts, which begin at `starts`."""
+    initial = pc.utf8_slice_codeunits(column, 0, 1)
+    odd = np.asarray(pc.or_(pc.utf8_is_space(initial), pc.equal(initial, "")))
+    line = np.zeros(len(parts), dtype=bool)
+    alone = np.zeros(len(parts), dtype=bool)
+    for i in np.flatnonzero(odd).tolist():
+        line[i] = len(parts[i]) > 1 and parts[i][0] == "\n" and not parts[i][1].isspace()
+        alone[i] = parts[i] == "\n"
+    odd = odd & ~line
+    bad = odd[picks]
+    bad[starts[:-1]] = False
+    ends = np.zeros(len(picks), dtype=bool)
+    ends[starts[1:] - 1] = True
+    at = np.flatnonzero(bad & alone[picks])
+    bad[at] = ~(ends[at] | line[picks[np.minimum(at + 1, len(picks) - 1)]])
+    return np.logical_or.reduceat(bad, starts[:-1]) if len(starts) > 1 else np.zeros(0, dtype=bool)
+
+
 def _spaced(part: str) -> str:
     """A part as it stands in its text: line ends are part of it, spaces are not."""
     return part if part[0] == "\n" else " " + part
@@ -119,8 +139,10 @@ class Codec:
 
     def _learned(self, parts: list[str]) -> list[bytes]:
         """The ids of parts, each after its space or line end, many in one call; byte lengths tell their ids apart."""
-        sizes = np.asarray(pc.binary_length(pa.array(parts, pa.string()))).astype(np.int64) + 1
-        sizes -= np.fromiter((p[:1] == "\n" for p in parts), dtype=np.int64, count=len(parts))
+        if not parts:
+            return []
+        column = pa.array(parts, pa.string())
+        sizes = np.asarray(pc.binary_length(column)) + np.int64(1) - np.asarray(pc.starts_with(column, "\n"))
         call = np.cumsum(sizes) // _CALL
         edges = [0, *(np.flatnonzero(np.diff(call)) + 1).tolist(), len(parts)]
         spaced = list(map(_spaced, parts))
@@ -133,33 +155,36 @@ class Codec:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after another, and the places at which each text's begin and the last's end. Null
         texts are empty."""
-        rows = [t or "" for t in texts.to_pylist()]
-        mixed = [_MIXED.search(t) is not None for t in rows]
-        # a mixed text stands for itself: all of it is its first part
-        split = pc.split_pattern(pc.replace_substring(pa.array(["" if m else t for t, m in zip(rows, mixed, strict=True)], pa.large_string()), "\n", " \n"), " ")
+        rows = texts.to_pylist()
+        split = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, "").cast(pa.large_string()), "\n", " \n"), " ")
         starts = np.asarray(split.offsets)
         parts = split.flatten().dictionary_encode()
         distinct = pc.cast(parts.dictionary, pa.string()).to_numpy(zero_copy_only=False).tolist()
         picks = np.asarray(parts.indices).astype(np.int64)
+        mixed = _mixed(parts.dictionary, distinct, picks, starts)
+        if mixed.any():  # such a text is one part of its own
+            kept = ~np.repeat(mixed, np.diff(starts))
+            kept[starts[:-1]] = True
+            picks, starts = picks[kept], np.concatenate([[0], np.cumsum(np.where(mixed, 1, np.diff(starts)))])
         # first parts follow no space, so they are places of their own after the distinct parts
-        first = [t if m else t[: _FIRST.search(t).start()] for t, m in zip(rows, mixed, strict=True)]
+        first = [t if m or not t else t[: _FIRST.search(t).start()] for t, m in zip(rows, mixed.tolist(), strict=True)]
         picks[starts[:-1]] = len(distinct) + np.arange(len(rows))
         uses = np.bincount(picks, minlength=len(distinct) + len(rows))[: len(distinct)]
         memo = self.memo
         got = [memo[p] if n else b"" for p, n in zip(distinct, uses.tolist(), strict=True)]
-        if memo.new:
-            learned = self._learned(memo.new)
-            where = [i for i, g in enumerate(got) if g is None]
-            for i, g in zip(where, learned, strict=True):
-                got[i] = g
-            # those used once here are the least likely to come again
-            again = (uses[where] > 1).tolist()
-            memo.update((p, g) for p, g, more in zip(memo.new, learned, again, strict=True) if more and len(p) <= MEMO_LENGTH)
-            memo.new = []
+        learned = self._learned(memo.new)
+        where = [i for i, g in enumerate(got) if g is None]
+        for i, g in zip(where, learned, strict=True):
+            got[i] = g
+        # those used once here are the least likely to come again
+        again = (uses[where] > 1).tolist()
+        memo.update((p, g) for p, g, more in zip(memo.new, learned, again, strict=True) if more and len(p) <= MEMO_LENGTH)
+        memo.new = []
         memo.age()
         got += [self.whole(p) if p else b"" for p in first]
-        lengths = np.fromiter(map(len, got), dtype=np.int64, count=len(got)) // 4
-        ids, to = gathered(np.frombuffer(b"".join(got), dtype="<u4"), lengths, picks)
+        column = pa.array(got, pa.large_binary())
+        flat = np.frombuffer(column.buffers()[2] or b"", dtype="<u4")
+        ids, to = gathered(flat, np.asarray(pc.binary_length(column)) // 4, picks)
         return ids, to[starts]
 
     def decode(self, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

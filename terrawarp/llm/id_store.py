@@ -261,16 +261,17 @@ def _recipes(spark: SparkSession, store: str) -> tuple[DataFrame, DataFrame]:
     return docs.mapInArrow(refer, "doc_id long, start long, n_tokens long, tail long, key binary, n long"), docs.where("n_tokens = 0").select("doc_id", "start", "n_tokens")
 
 
-def _verified(batches, give):
+def _verified(batches, give, kind: pa.DataType, name: str):
+    """Batches of (key, n, what `give` makes of a chunk's bytes) of chunks that match their keys."""
     for batch in batches:
-        out = []
-        for key, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            ids = unpack(data)
-            raw = ids.tobytes()
+        keys, sizes, made = batch.column(0).to_pylist(), [], []
+        for key, data in zip(keys, batch.column(1).to_pylist(), strict=True):
+            raw = unpack(data).tobytes()
             if hashlib.blake2b(raw, digest_size=KEY).digest() != key:
                 raise ValueError("a chunk does not match its key")
-            out.append(give(key, ids, raw))
-        yield pa.RecordBatch.from_pylist(out) if out else None
+            sizes.append(len(raw) // 4)
+            made.append(give(raw))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(made, kind)], ["key", "n", name])
 
 
 def _met(chunks: DataFrame, refs: DataFrame) -> DataFrame:
@@ -287,9 +288,7 @@ def read_ids(spark: SparkSession, store: str) -> DataFrame:
     """doc_id, start, n_tokens and ids array<int>, put together from verified chunks; the ids cross the network once."""
 
     def run(batches):
-        for b in _verified(batches, lambda k, i, r: {"key": k, "n": len(i), "ids": r}):
-            if b is not None:
-                yield b
+        yield from _verified(batches, lambda raw: raw, pa.binary(), "ids")
 
     def whole(batches):
         for batch in batches:
@@ -314,9 +313,7 @@ def read_digests(spark: SparkSession, store: str) -> DataFrame:
     CRC follows from them. So a chunk that many documents share is read once."""
 
     def run(batches):
-        for b in _verified(batches, lambda k, i, r: {"key": k, "n": len(i), "crc": zlib.crc32(r)}):
-            if b is not None:
-                yield b
+        yield from _verified(batches, zlib.crc32, pa.int64(), "crc")
 
     def share(batches):
         for b in batches:

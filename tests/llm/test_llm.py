@@ -400,6 +400,12 @@ def test_bpe_memo_forgets(tokenizers_files, monkeypatch):
         assert len(c.memo) <= 2 and not any(len(p) > bpe.MEMO_LENGTH for p in c.memo | c.memo.older)
 
 
+def test_bpe_knows_all_white_space():
+    chars = [chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000]
+    known = bpe.pc.utf8_is_space(pa.array(chars)).to_pylist()
+    assert all(k for c, k in zip(chars, known, strict=True) if c.isspace() or re.match(r"\s", c))
+
+
 def test_bpe_blocks():
     texts = pa.array(["aaaa", None, "bb", "c" * 20, "", "d"])
     cut = [(s.start, s.stop) for s in bpe.blocks(texts, 6)]
