@@ -35,8 +35,9 @@ from .common import free_name, table
 #: Parts that a worker remembers, in two halves, and the longest part that it does.
 MEMO_PARTS, MEMO_LENGTH = 500_000, 64
 _FIRST = re.compile(r"[ \n]|\Z")
-#: How many letters of new parts go into one call of the library, and how many bytes of texts are worked on at once.
-_CALL, BLOCK_BYTES = 2000, 8_000_000
+#: How many letters of new parts the library gets as one text, how many such texts go into a call, and how many bytes
+#: of texts are worked on at once.
+_CALL, _CALLS, BLOCK_BYTES = 2000, 64, 4_000_000
 
 
 def blocks(texts: pa.Array, most: int = BLOCK_BYTES):
@@ -145,9 +146,11 @@ class Codec:
         sizes = np.asarray(pc.binary_length(column)) + np.int64(1) - np.asarray(pc.starts_with(column, "\n"))
         call = np.cumsum(sizes) // _CALL
         edges = [0, *(np.flatnonzero(np.diff(call)) + 1).tolist(), len(parts)]
-        spaced = list(map(_spaced, parts))
-        found = self.tokenizer.encode_batch_fast(["".join(spaced[a:b]) for a, b in zip(edges, edges[1:], strict=False)], add_special_tokens=False)
-        ids = np.concatenate([np.array(e.ids, dtype="<u4") for e in found])
+        ids = []
+        for i in range(0, len(edges) - 1, _CALLS):  # few at a time, as the library's answers are large
+            some = ["".join(map(_spaced, parts[a:b])) for a, b in zip(edges[i : i + _CALLS], edges[i + 1 :], strict=False)]
+            ids += [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+        ids = np.concatenate(ids)
         to = (np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum(sizes), side="left") + 1) * 4
         raw = ids.tobytes()
         return [raw[a:b] for a, b in zip([0, *to.tolist()], to.tolist(), strict=False)]

@@ -93,7 +93,8 @@ def cut_runs(docs: DataFrame, doc_id: str, text: str, min_words: int, scratch: S
     tail = ranks.select("d", F.col("pos").alias("p"), "k", F.col("r").alias("r2"))
     named = runs.join(head, ["d", "a", "k"]).withColumn("p", F.col("b") + 1 - F.expr("shiftleft(1, k)")).join(tail, ["d", "p", "k"])
     named = scratch.keep(named.select((F.col("b") - F.col("a") + 1).alias("n"), "r1", "r2", F.struct(F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("id"), F.col("d").alias("d"), F.col("a").alias("a")).alias("at"), "b"))
-    first = named.groupBy("n", "r1", "r2").agg(F.min("at").alias("first"), F.count("*").alias("c")).where("c > 1").drop("c")
+    # written first: so adaptive execution can split the runs of a hot name, which are shuffled for the join alone
+    first = scratch.keep(named.groupBy("n", "r1", "r2").agg(F.min("at").alias("first"), F.count("*").alias("c")).where("c > 1").drop("c"))
     later = named.join(first, ["n", "r1", "r2"]).where("at > first").select("at.d", "at.a", "b").distinct()
     w = Window.partitionBy("d").orderBy("a", "b")
     later = later.withColumn("reach", F.max("b").over(w.rowsBetween(Window.unboundedPreceding, -1)))

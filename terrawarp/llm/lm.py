@@ -3,14 +3,17 @@
 Model: P(w | h) = (c(hw) + MU * P(w | h')) / (c(h) + MU), h' the context without its first word; without context
 P(w) = (c(w) + 1) / (N + V + 1), whose last unit of mass is that of all unknown words. Counts are of all training
 documents, with none cut off. As an automaton: a state for each context seen, an arc for each n-gram seen, and a
-failure arc to the state of h' that costs log10(MU / (c(h) + MU)). A text is read once from left to right: the state
-is carried, failure arcs are followed until an arc fits, and the log-probabilities add up.
-
-Distribution: documents are dealt into blocks once. A block sends the hashes of its n-grams with its own training
-counts to hash ranges, each range adds them up over all blocks and answers each block with the totals of what it
-sent, in its order. So a block gets just the part of the automaton that its texts can touch; nothing that grows with
-the corpus is broadcast or collected, a frequent n-gram is one entry a block, and no task sees a whole table. The
-traffic is about 6 bytes for each distinct n-gram of a block, and its texts cross the network once.
+failure arc to the state of h' that costs log10(MU / (c(h) + MU)). Texts are read from left to right: the state that
+the arc of one place leads to is the one that the next is entered with, failure arcs are followed until an arc fits,
+and the log-probabilities add up. NumPy does so for all places of a block at once: an arc leads to the state of the
+longest n-gram seen that ends there, so the states of all places are known before the failure arcs are followed.
+
+Distribution: documents are dealt into blocks of about BLOCK_BYTES once. A block sends the hashes of its n-grams with
+its own training counts to as many hash ranges, each range adds them up over all blocks and answers each block with
+the totals of what it sent, in its order. So a block gets just the part of the automaton that its texts can touch;
+nothing that grows with the corpus is broadcast or collected, a frequent n-gram is one entry a block, and no task sees
+a whole table. The traffic is about 6 bytes for each distinct n-gram of a block, in one message for each block and
+range, and its texts cross the network once.
 
 Defined results
 * Null or empty text: the end alone is scored. Very long texts are read whole. Repeated rows: a row each, all learnt.
@@ -34,10 +37,10 @@ from .common import table
 from .toxicity import fold
 
 #: Order of the model and the weight of the shorter context.
-ORDER, MU = 2, 32.0
+ORDER, MU = 3, 32.0
 END, START = 0, 1
-#: Places whose arcs a worker holds at a time.
-LOADED = 200_000
+#: Bytes of texts in a block, about.
+BLOCK_BYTES = 12_000_000
 _MIX, _ADD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
 
 
@@ -83,7 +86,7 @@ class Block:
                 key = _scrambled(older * _MIX + word + np.uint64(k))
             valid = back >= max(k, 1) if k else np.ones(len(key), bool)
             found, inverse = np.unique(key[valid], return_inverse=True)
-            at = np.full(len(key), -1, dtype=np.int64)
+            at = np.full(len(key), -1, dtype=np.int32)
             at[valid] = inverse
             self.grams.append(found)
             self.at.append(at)
@@ -95,82 +98,48 @@ class Block:
 
 
 class Automaton:
-    """States and arcs that a block's texts can touch, from the totals of its n-grams."""
+    """States and arcs that a block's texts can touch, from the totals of its n-grams.
+
+    A state of length k is a context of k words, numbered like the block's k-grams; an arc of length k is a
+    (k+1)-gram that training texts hold. Words alone are arcs of length 0 and always there."""
 
     def __init__(self, block: Block, totals: list[np.ndarray], tokens: int, words: int, mu: float):
-        b, order = block, len(totals)
+        self.block, at = block, block.at
         logs = np.log10((totals[0] + 1.0) / (tokens + words + 1.0)) if len(totals[0]) else np.zeros(0)
-        self.unigram = logs
-        self.word = b.at[0]
-        uses = totals[0].astype(np.float64).copy()  # as contexts; START comes before each text that is learnt from
-        first = b.at[0][b.tokens == START][:1]
-        last = b.at[0][b.tokens == END][:1]
+        uses = totals[0].astype(np.float64)  # as contexts; START comes before each text that is learnt from
+        first, last = at[0][block.tokens == START][:1], at[0][block.tokens == END][:1]
         if len(first):
             uses[first] = totals[0][last]
-        prob, longer = 10.0**logs, [uses, *[t.astype(np.float64) for t in totals[1:]]]
-        # states: 0 the root, then contexts of each length that were seen; an arc's number is that of its n-gram
-        self.base = [1]
-        for k in range(order - 1):
-            self.base.append(self.base[-1] + len(b.grams[k]))
-        self.fail = [0] * self.base[-1]
-        self.cost = [0.0] * self.base[-1]
-        self.at = b.at
-        self.tables: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
-        self.arcs: dict[int, tuple[float, int]] = {}
-        self.span = len(b.grams[0])
-        below = prob
-        for k in range(1, order):
-            ends = np.full(len(b.grams[k]), -1, dtype=np.int64)
-            where = np.flatnonzero(b.at[k] >= 0)
-            ends[b.at[k][where]] = where  # one place of each distinct n-gram
-            context, shorter, word = b.at[k - 1][ends - 1], b.at[k - 1][ends], b.at[0][ends]
-            total = longer[k - 1][context]
-            p = (totals[k] + mu * below[shorter]) / (total + mu)
-            seen = totals[k] > 0
-            state = self.base[k - 1] + context
-            target = self.base[k] + np.arange(len(ends)) if k + 1 < order else self.base[k - 1] + shorter
-            self.tables.append((state * self.span + word, np.log10(p), target, seen))
-            number = np.arange(len(b.grams[k - 1]))
-            cost = np.log10(mu / (longer[k - 1] + mu)).tolist()
-            to = np.zeros(len(number), dtype=np.int64)
-            if k > 1:
-                here = np.flatnonzero(b.at[k - 1] >= 0)
-                to[b.at[k - 1][here]] = self.base[k - 2] + b.at[k - 2][here]
-            self.fail[self.base[k - 1] : self.base[k]] = to.tolist()
-            self.cost[self.base[k - 1] : self.base[k]] = cost
-            below = p
-        self.order = order
-        self.unigram_list = logs.tolist()
-
-    def load(self, start: int, end: int) -> None:
-        """Makes the arcs of the n-grams that end in these places, in place of those before."""
-        self.arcs = {}
-        for k, (keys, logs, target, seen) in enumerate(self.tables, 1):
-            here = np.unique(self.at[k][start:end])
-            here = here[here >= 0]
-            here = here[seen[here]]
-            self.arcs.update(zip(keys[here].tolist(), zip(logs[here].tolist(), target[here].tolist(), strict=True), strict=True))
-
-    def score(self, words: list[int]) -> float:
-        """log10 of the text's probability; words: START, the words and END, as numbers of unigrams."""
-        arcs, fail, cost, unigram, span, base = self.arcs.get, self.fail, self.cost, self.unigram_list, self.span, self.base[0]
-        if self.order == 1:
-            return sum(unigram[w] for w in words[1:])
-        total, state = 0.0, base + words[0]
-        for w in words[1:]:
-            while True:
-                arc = arcs(state * span + w)
-                if arc is not None:
-                    total += arc[0]
-                    state = arc[1]
-                    break
-                if not state:
-                    total += unigram[w]
-                    state = base + w
-                    break
-                total += cost[state]
-                state = fail[state]
-        return total
+        self.logs, self.seen, self.fail_cost = [logs], [np.ones(len(logs), dtype=bool)], []
+        below = 10.0**logs
+        for k in range(1, len(totals)):
+            ends = np.full(len(block.grams[k]), -1, dtype=np.int64)
+            where = np.flatnonzero(at[k] >= 0)
+            ends[at[k][where]] = where  # one place of each distinct n-gram
+            context, shorter = at[k - 1][ends - 1], at[k - 1][ends]
+            below = (totals[k] + mu * below[shorter]) / (uses[context] + mu)
+            self.logs.append(np.log10(below))
+            self.seen.append(totals[k] > 0)
+            self.fail_cost.append(np.log10(mu / (uses + mu)))
+            uses = totals[k].astype(np.float64)
+
+    def scores(self) -> np.ndarray:
+        """log10 of each text's probability."""
+        at, longest = self.block.at, len(self.logs) - 1
+        # the length of the arc that each place takes, and of the state that it leads to
+        taken = np.zeros(len(self.block.tokens), dtype=np.int64)
+        for k in range(1, longest + 1):
+            there = at[k] >= 0
+            taken[there] = np.where(self.seen[k][at[k][there]], k, taken[there])
+        state = np.minimum(taken + 1, longest)
+        entered, total = np.concatenate([[0], state[:-1]]), np.zeros(len(taken))
+        for k in range(longest, 0, -1):  # states of length k whose arc is missing fail to the next shorter context
+            failing = np.flatnonzero((entered >= k) & (taken < k) & self.block.counted)
+            total[failing] += self.fail_cost[k - 1][at[k - 1][failing - 1]]
+        for k in range(longest + 1):
+            here = np.flatnonzero((taken == k) & self.block.counted)
+            total[here] += self.logs[k][at[k][here]]
+        return np.add.reduceat(total, self.block.starts) if len(total) else total
 
 
 def _planes(a: np.ndarray) -> bytes:
@@ -198,7 +167,8 @@ def score_documents(docs: DataFrame, learn: Column, order: int = ORDER, mu: floa
     """(doc_id, learnt, n_tokens, n_known, train_tokens, base_score, score) of every document. `learn`, over the
     columns of docs, says which documents are counted; n_known counts tokens that training texts hold."""
     spark = docs.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.sum(F.octet_length(docs[text]) + 8)).first()[0] or 0
+    n = max(1, -(-size // BLOCK_BYTES))
     labels = _labels(spark, n)
     pick = F.element_at(F.array(*map(F.lit, labels)), (F.pmod(F.xxhash64(docs[doc_id], docs[text]), F.lit(n)) + 1).cast("int"))
     dealt = docs.select(pick.alias("block"), docs[doc_id].alias("doc_id"), docs[text].alias("text"), F.coalesce(learn, F.lit(False)).alias("learn")).repartition(n, "block")
@@ -245,16 +215,10 @@ def score_documents(docs: DataFrame, learn: Column, order: int = ORDER, mu: floa
         totals = [np.concatenate([_numbers(r[1][k]) for r in rows]).astype(np.float64) for k in range(order)]
         tokens, words = sum(r[2] for r in rows), sum(r[3] for r in rows)
         machine = Automaton(block, totals, tokens, words, mu)
-        scores, base, known, loaded = [], [], [], 0
-        for s, size in zip(block.starts.tolist(), block.sizes.tolist(), strict=True):
-            if s + size > loaded:  # arcs of the next places, those of this text at least
-                loaded = max(s + size, min(s + LOADED, len(block.tokens)))
-                machine.load(s, loaded)
-            seq = block.at[0][s : s + size]
-            scores.append(machine.score(seq.tolist()))
-            base.append(float(machine.unigram[seq[1:]].sum()))
-            known.append(int((totals[0][seq[1:]] > 0).sum()))
-        return pa.table({"doc_id": left["doc_id"], "learnt": left["learn"], "n_tokens": pa.array(block.sizes - 1), "n_known": pa.array(known, pa.int64()), "train_tokens": pa.array([tokens] * len(known), pa.int64()), "base_score": pa.array(base, pa.float64()), "score": pa.array(scores, pa.float64())})
+        counted, word = block.counted, block.at[0]
+        base = np.add.reduceat(np.where(counted, machine.logs[0][word], 0.0), block.starts)
+        known = np.add.reduceat((counted & (totals[0][word] > 0)).astype(np.int64), block.starts)
+        return pa.table({"doc_id": left["doc_id"], "learnt": left["learn"], "n_tokens": pa.array(block.sizes - 1), "n_known": pa.array(known), "train_tokens": pa.array([tokens] * len(known), pa.int64()), "base_score": pa.array(base), "score": pa.array(machine.scores())})
 
     sent = dealt.mapInArrow(profile, "span int, block int, i int, keys array<binary>, counts array<binary>")
     totals = sent.groupBy("span").applyInArrow(add, "block int, i int, totals array<binary>, tokens long, words long")

@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .bpe import blocks
 from .common import Scratch, components, free_name, table
 
 #: Fixed: seed of a shingle's XXH64, bits and blocks of the exact fingerprint, most bits apart.
@@ -54,13 +55,16 @@ def shingle_hashes(text: str | None, words: int) -> np.ndarray:
     return np.array(list(map(xxhash.xxh64_intdigest, map(b" ".join, runs), repeat(SEED))), dtype=np.uint64)
 
 
-def bits_of(hashes: np.ndarray, step: int = 1 << 15) -> np.ndarray:
-    """For each of 64 bits, lowest first, whether over half of the hashes have it; a bounded slice at a time."""
-    total = np.zeros(64, np.int64)
-    for i in range(0, len(hashes), step):
-        part = hashes[i : i + step].astype("<u8").view(np.uint8).reshape(-1, 8)
-        total += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return total * 2 > len(hashes)
+def bits_of(hashes: np.ndarray, step: int = 1 << 13) -> np.ndarray:
+    """For each bit of the rows of hashes, (n,) or (n, k), lowest first, whether over half of them have it. Counts are
+    of bytes for 255 rows at a time, and a bounded slice is unpacked at once."""
+    wide = (hashes if hashes.ndim > 1 else hashes[:, None]).astype("<u8", copy=False)
+    total = np.zeros(64 * wide.shape[1], np.int64)
+    for i in range(0, len(wide), step):
+        bits = np.unpackbits(np.ascontiguousarray(wide[i : i + step]).view(np.uint8), axis=1, bitorder="little")
+        for j in range(0, len(bits), 255):
+            total += np.add.reduce(bits[j : j + 255], axis=0, dtype=np.uint8)
+    return total * 2 > len(wide)
 
 
 def _word(bits: np.ndarray) -> int:
@@ -74,8 +78,9 @@ def fingerprints(docs: DataFrame, words: int, doc_id: str = "doc_id", text: str
 
     def run(batches):
         for batch in batches:
-            fps = [_word(bits_of(shingle_hashes(t, words))) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+            for part in blocks(batch.column(1)):
+                fps = [_word(bits_of(shingle_hashes(t, words))) for t in batch.column(1)[part].to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column(0)[part], pa.array(fps, pa.int64())], ["doc_id", "fp"])
 
     return source.mapInArrow(run, schema)
 
@@ -140,36 +145,53 @@ def plan_blocks(texts: int, similarity: float) -> tuple[int, int, int]:
 
 
 def _mixed(h: np.ndarray, k: int) -> np.ndarray:
-    """The k-th hash of a shingle, from its first."""
-    x = h + np.uint64(k * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+    """The first k hashes of each shingle, from its own: (n, k)."""
+    x = h[:, None] + (np.arange(k, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[None, :]
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
 
 
-def _wide(docs: DataFrame, words: int, width: int, blocks: int, tiny: int, doc_id: str, text: str) -> DataFrame:
+def wide_bits(h: np.ndarray, bits: int, step: int = 1 << 13) -> np.ndarray:
+    """At least so many fingerprint bits of a set of shingles, a bounded slice of hash functions at a time."""
+    k = -(-bits // 64)
+    if len(h) <= step:
+        return bits_of(_mixed(h, k))
+    return np.concatenate([bits_of(_mixed(h + np.uint64(i * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF), 1)) for i in range(k)])
+
+
+def _wide(docs: DataFrame, words: int, width: int, blocks_: int, tiny: int, doc_id: str, text: str) -> DataFrame:
     """(doc_id, th, node, n, fp array<long>, keys array<long>, shingles array<long>): th names the text, node its set of
-    shingles. Sets of up to TINY shingles have `tiny` keys, the first `blocks` of them like those of others."""
+    shingles. Sets of up to TINY shingles have `tiny` keys, the first `blocks_` of them like those of others."""
     source = docs.select(docs[doc_id].alias("doc_id"), F.xxhash64(docs[text]).alias("th"), docs[text].alias("text"))
     more = "node long, n long, fp array<long>, keys array<long>, shingles array<long>"
     schema = T.StructType([*source.schema.fields[:2], *T.StructType.fromDDL(more).fields])
 
     def run(batches):
-        weights = (1 << np.arange(width, dtype=np.int64)).astype(np.int64)
+        weights = 1 << np.arange(width, dtype=np.int64)
         for batch in batches:
-            rows = []
-            for t in batch.column(2).to_pylist():
-                h = np.unique(shingle_hashes(t, words))
-                own = tiny if len(h) <= TINY else blocks
-                bits = np.concatenate([bits_of(_mixed(h, k)) for k in range(math.ceil(width * own / 64))])
-                keys = bits[: width * own].reshape(own, width) @ weights + (np.arange(own, dtype=np.int64) << width)
-                rows.append({"node": xxhash.xxh64_intdigest(h.tobytes()) - (1 << 63), "n": len(h), "fp": np.packbits(bits[:NEAR_BITS], bitorder="little").view("<i8").tolist(), "keys": keys.tolist(), "shingles": h.view(np.int64).tolist()})
-            made = pa.Table.from_pylist(rows, pa.schema([("node", pa.int64()), ("n", pa.int64()), ("fp", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64())), ("shingles", pa.list_(pa.int64()))])).combine_chunks()
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in made.columns]], schema.names)
+            for part in blocks(batch.column(2)):
+                node, n, fp, keys, shingles = [], [], [], [], []
+                for t in batch.column(2)[part].to_pylist():
+                    h = np.sort(shingle_hashes(t, words))
+                    h = h[np.append(True, h[1:] != h[:-1])[: len(h)]]
+                    own = tiny if len(h) <= TINY else blocks_
+                    bits = wide_bits(h, width * own)
+                    node.append(xxhash.xxh64_intdigest(h.tobytes()) - (1 << 63))
+                    n.append(len(h))
+                    fp.append(np.packbits(bits[:NEAR_BITS], bitorder="little").view("<i8"))
+                    keys.append(bits[: width * own].reshape(own, width) @ weights + (np.arange(own, dtype=np.int64) << width))
+                    shingles.append(h.view(np.int64))
+                yield pa.RecordBatch.from_arrays([batch.column(0)[part], batch.column(1)[part], pa.array(node, pa.int64()), pa.array(n, pa.int64()), _lists(fp), _lists(keys), _lists(shingles)], schema.names)
 
     return source.mapInArrow(run, schema)
 
 
+def _lists(rows: list[np.ndarray]) -> pa.ListArray:
+    at = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(rows), pa.int64()))
+
+
 def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """Those pairs (a, b) of nodes whose sets (node, shingles; a row each at least) have that Jaccard similarity."""
     named = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
@@ -181,44 +203,64 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
 
 
 def near_links(nodes: DataFrame, sets: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
-    """Edges (a, b) between nodes (node, n, fp, keys) that share a block and whose sets (node, shingles) have that
-    similarity, by a filter of fingerprint bits and sizes and then exactly.
-
-    Buckets up to LIMIT are paired. In a larger one every node is verified against one pivot; then, with the
-    components that all links so far give, the nodes outside the bucket's largest component are verified against all
-    of its nodes of other components: no link between components is lost, and nodes known to belong together, the
-    bulk of a hot bucket, are never paired."""
-    def most(bits, n):
-        """Bits in which sets may differ, the smaller of n shingles: 4 deviations above the mean."""
-        tiny, other = (math.floor(bits * p + 4 * math.sqrt(bits * p * (1 - p))) for p in (differing(similarity) * u for u in (UNEVEN_TINY, UNEVEN)))
-        return F.when(n <= TINY, tiny).otherwise(other)
-
-    apart = lambda x, y, nx, ny: sum((F.bit_count(F.get(x, i).bitwiseXOR(F.get(y, i))) for i in range(1, NEAR_BITS // 64)), F.bit_count(F.get(x, 0).bitwiseXOR(F.get(y, 0)))) <= most(NEAR_BITS, F.least(nx, ny))
-    alike = lambda x, y: F.least(x, y) >= F.greatest(x, y) * similarity - 1e-6
+    """Edges (a, b) that connect all nodes (node, n, fp, keys) that share a block and whose sets (node, shingles) have
+    that similarity, by a filter of fingerprint bits and sizes and then exactly.
+
+    First every node is verified against one pivot of each of its buckets: a pair a node and block. Then only nodes of
+    different components, as those links give them, are paired: no link between components is lost, and the nodes of
+    a group, the bulk of a hot bucket, are never paired with each other. A bucket of more than LIMIT nodes is dealt
+    anew, by each second block that its nodes may share, before its nodes are paired."""
+    fp = scratch.keep(nodes.select("node", "n", "fp"))
     keys = nodes.select(F.explode("keys").alias("k"), "node", "n", F.get("fp", 0).alias("s"))
-    load = keys.groupBy("k").agg(F.count("*").alias("c")).where("c > 1")
-    shared = scratch.keep(keys.join(load, "k"))
-    small = shared.where(F.col("c") <= LIMIT)
-    x, y = small.select("k", F.col("node").alias("a"), F.col("n").alias("na"), F.col("s").alias("sa")), small.select("k", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("s").alias("sb"))
-    pairs = x.join(y, "k").where((F.col("a") < F.col("b")) & (F.bit_count(F.col("sa").bitwiseXOR(F.col("sb"))) <= most(64, F.least("na", "nb"))) & alike(F.col("na"), F.col("nb"))).select("a", "b").distinct()
-    fp = nodes.select("node", "fp", "n")
-    found = pairs.join(fp.select(F.col("node").alias("a"), F.col("fp").alias("fa"), F.col("n").alias("na")), "a").join(fp.select(F.col("node").alias("b"), F.col("fp").alias("fb"), F.col("n").alias("nb")), "b").where(apart(F.col("fa"), F.col("fb"), F.col("na"), F.col("nb"))).select("a", "b")
-    edges = scratch.keep(verified(scratch.keep(found), sets, similarity))
-    hot = shared.where(F.col("c") > LIMIT)
-    if not hot.take(1):
-        return edges
-    hot = scratch.keep(hot.select("k", "node").join(fp, "node"))
-    pivot = hot.groupBy("k").agg(F.min_by(F.struct("node", "fp", "n"), F.xxhash64("node")).alias("p"))
-    by_pivot = hot.join(pivot, "k").where((F.col("node") != F.col("p.node")) & alike(F.col("n"), F.col("p.n")) & apart(F.col("fp"), F.col("p.fp"), F.col("n"), F.col("p.n"))).select(F.col("node").alias("a"), F.col("p.node").alias("b"))
-    edges = scratch.keep(edges.unionByName(verified(scratch.keep(by_pivot.distinct()), sets, similarity)))
-    label = components(edges, scratch)
-    hot = scratch.keep(hot.join(label, "node", "left").withColumn("label", F.coalesce("label", "node")))
-    bulk = hot.groupBy("k", "label").agg(F.count("*").alias("c")).groupBy("k").agg(F.max_by("label", F.struct("c", "label")).alias("bulk"))
-    rest = hot.join(bulk, "k").where("label <> bulk").select("k", F.col("node").alias("a"), F.col("n").alias("na"), F.col("fp").alias("fa"), F.col("label").alias("la"), "bulk")
-    every = hot.select("k", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("fp").alias("fb"), F.col("label").alias("lb"))
-    once = (F.col("lb") == F.col("bulk")) | (F.col("a") < F.col("b"))
-    others = rest.join(every, "k").where((F.col("la") != F.col("lb")) & once & alike(F.col("na"), F.col("nb")) & apart(F.col("fa"), F.col("fb"), F.col("na"), F.col("nb"))).select("a", "b").distinct()
-    return edges.unionByName(verified(scratch.keep(others), sets, similarity))
+    # the node of the smallest hash, so that a group's buckets have few pivots
+    pivot = keys.groupBy("k").agg(F.min(F.struct(F.xxhash64("node").alias("h"), "node", "n", "s")).alias("p"), F.count("*").alias("c"))
+    pivot = scratch.keep(pivot.where("c > 1").select("k", F.col("p.node").alias("b"), F.col("p.n").alias("nb"), F.col("p.s").alias("sb")))
+    own = keys.select("k", F.col("node").alias("a"), F.col("n").alias("na"), F.col("s").alias("sa"))
+    near = own.join(pivot, "k").where((F.col("a") != F.col("b")) & _may("a", "b", similarity)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    edges = scratch.keep(verified(_close(near.distinct(), fp, similarity, scratch), sets, similarity))
+    group = components(edges, scratch)
+    named = scratch.keep(nodes.join(group, "node", "left").withColumn("label", F.coalesce("label", "node")))
+    rows = named.select(F.explode("keys").alias("k"), "node", "label", "n", F.get("fp", 0).alias("s"))
+    load = rows.groupBy("k").agg(F.count("*").alias("c"), (F.min("label") != F.max("label")).alias("open"))
+    load = scratch.keep(load.where("open").select("k", "c"))
+    rest = [_across(rows.join(load.where(F.col("c") <= LIMIT).select("k"), "k", "left_semi"), ["k"], similarity)]
+    hot = load.where(F.col("c") > LIMIT)
+    if hot.take(1):
+        wider = scratch.keep(rows.join(hot.select("k"), "k", "left_semi"))
+        second = named.select("node", F.explode("keys").alias("k2"))
+        wider = scratch.keep(wider.join(second, "node").where("k <> k2"))
+        twice = scratch.keep(wider.groupBy("k", "k2").agg((F.min("label") != F.max("label")).alias("open")).where("open").select("k", "k2"))
+        rest.append(_across(wider.join(twice, ["k", "k2"], "left_semi"), ["k", "k2"], similarity))
+    pairs = rest[0] if len(rest) == 1 else rest[0].unionByName(rest[1])
+    return edges.unionByName(verified(_close(pairs.distinct(), fp, similarity, scratch), sets, similarity))
+
+
+def _most(bits: int, n: Column, similarity: float) -> Column:
+    """Bits in which similar sets may differ, the smaller of n shingles: 4 deviations above the mean."""
+    tiny, other = (math.floor(bits * p + 4 * math.sqrt(bits * p * (1 - p))) for p in (differing(similarity) * u for u in (UNEVEN_TINY, UNEVEN)))
+    return F.when(n <= TINY, tiny).otherwise(other)
+
+
+def _may(a: str, b: str, similarity: float) -> Column:
+    """Whether the sizes (na, nb) and first 64 bits (sa, sb) of two nodes allow the similarity."""
+    x, y = F.col(f"n{a}"), F.col(f"n{b}")
+    return (F.least(x, y) >= F.greatest(x, y) * similarity - 1e-6) & (F.bit_count(F.col(f"s{a}").bitwiseXOR(F.col(f"s{b}"))) <= _most(64, F.least(x, y), similarity))
+
+
+def _across(rows: DataFrame, keys: list[str], similarity: float) -> DataFrame:
+    """Pairs (a, b) of nodes of a bucket that belong to different components and may be similar."""
+    x, y = (rows.select(*keys, F.col("node").alias(i), F.col("label").alias(f"l{i}"), F.col("n").alias(f"n{i}"), F.col("s").alias(f"s{i}")) for i in "ab")
+    met = x.join(y, keys).where((F.col("la") < F.col("lb")) & _may("a", "b", similarity))
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def _close(pairs: DataFrame, fp: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
+    """Those pairs (a, b) whose fingerprints of NEAR_BITS (node, n, fp) are near enough."""
+    left, right = (fp.select(F.col("node").alias(i), F.col("n").alias(f"n{i}"), F.col("fp").alias(f"f{i}")) for i in "ab")
+    words = [F.bit_count(F.get("fa", i).bitwiseXOR(F.get("fb", i))) for i in range(NEAR_BITS // 64)]
+    apart = sum(words[1:], words[0])
+    met = pairs.join(left, "a").join(right, "b").where(apart <= _most(NEAR_BITS, F.least("na", "nb"), similarity))
+    return scratch.keep(met.select("a", "b"))
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
