@@ -21,6 +21,7 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+import os
 import re
 
 import numpy as np
@@ -234,6 +235,7 @@ def _id_bytes(tokenizer) -> list[bytes]:
 @functools.lru_cache(maxsize=4)
 def codec(path: str, pattern: str | None = None) -> Codec:
     """The codec of a vocabulary file, made once in each worker: ranks if a pattern is given, else a tokenizers file."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a worker has one core
     if pattern is not None:
         return _from_ranks(path, pattern)
     from tokenizers import Tokenizer

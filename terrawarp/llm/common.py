@@ -97,15 +97,15 @@ def components(edges: DataFrame, scratch: Scratch, most: int = 60) -> DataFrame:
         if sign[0] == 0:
             break
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        # least neighbours are written first: so both sides of a join are shuffled for it alone, and adaptive execution
-        # can split the rows of a hub
-        low, low_path = scratch.write(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
-        large, large_path = scratch.write(both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
-        low2, low2_path = scratch.write(large.groupBy("u").agg(F.min("v").alias("m")))
-        star = large.join(low2, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+        # keys of aggregates are made anew, so that a join shuffles both its sides and adaptive execution can split the
+        # rows of a hub
+        again = lambda name: F.col(name).bitwiseXOR(F.lit(0)).alias(name)
+        low = both.groupBy("u").agg(F.min("v").alias("m")).select(again("u"), F.least("u", "m").alias("m"))
+        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        low2 = large.groupBy("u").agg(F.min("v").alias("m"))
+        star = large.select(again("u"), "v").join(low2.select(again("u"), "m"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         new, new_path = scratch.write(star.unionByName(low2.select("u", F.col("m").alias("v"))).distinct())
-        for old in (path, low_path, large_path, low2_path):
-            scratch.drop(old)
+        scratch.drop(path)
         was, now, path, sign = sign, new, new_path, _sign(new)
         if sign == was:
             break

@@ -1,8 +1,8 @@
 """Token-id output as a content-addressed store.
 
 Format (a folder):
-* chunks/  Parquet (key binary, data binary): every distinct run of ids once, named by the BLAKE2b-128 of its bytes
-  (little-endian unsigned 32-bit integers). Stored bytes are 2 an id where all its ids fit, else 4.
+* chunks/  Parquet (key binary, data binary): every distinct run of ids once, named by the BLAKE2b-128 of its bytes.
+  They are little-endian, 2 an id where all its ids fit, else 4, after a byte that says so.
 * docs/    Parquet in ascending order of doc_id (null first): doc_id, start, n_tokens, chunks (the recipe: each chunk's
   key and its number of ids in 4 bytes, joined) and root (the Merkle root over the recipe's entries).
 * manifest/ Parquet (part, docs, n_tokens, root): the Merkle root over the roots of each file part's documents.
@@ -81,10 +81,13 @@ def merkle(keys: list[bytes]) -> bytes:
     """The root over leaves in order; an odd last node moves up as it is."""
     if not keys:
         return bytes(KEY)
-    level = [hashlib.blake2b(b"\0" + k, digest_size=KEY).digest() for k in keys]
+    blake = hashlib.blake2b
+    level = [blake(b"\0" + k, digest_size=KEY).digest() for k in keys]
     while len(level) > 1:
-        up = [hashlib.blake2b(b"\1" + a + b, digest_size=KEY).digest() for a, b in zip(level[::2], level[1::2], strict=False)]
-        level = up + level[len(level) & ~1 :]
+        up = [blake(b"\1" + a + b, digest_size=KEY).digest() for a, b in zip(level[::2], level[1::2], strict=False)]
+        if len(level) & 1:
+            up.append(level[-1])
+        level = up
     return level[0]
 
 
@@ -138,19 +141,19 @@ def chunked(ids: np.ndarray, at: np.ndarray, seen: set[bytes]) -> tuple[tuple[li
     recipe of each stream: each of its chunks' keys, followed by its length in 4 bytes."""
     ends = cuts(marks(ids).tolist(), at.tolist())
     edges = np.unique(np.concatenate([at[:1], np.array([e for x in ends for e in x], dtype=np.int64)]))
-    pack, raw, blake = packer(ids, edges), memoryview(ids).cast("B"), hashlib.blake2b
+    pack, blake = packer(ids, edges), hashlib.blake2b
     keys, sizes, data, recipes = [], [], [], []
     for start, stops in zip(at.tolist(), ends, strict=False):
         recipe = []
         for stop in stops:
-            key = blake(raw[4 * start : 4 * stop], digest_size=KEY).digest()
-            recipe.append(key)
-            recipe.append((stop - start).to_bytes(4, "little"))
+            packed = pack(start, stop)
+            key = blake(packed, digest_size=KEY).digest()
+            recipe += (key, (stop - start).to_bytes(4, "little"))
             if key not in seen:
                 seen.add(key)
                 keys.append(key)
                 sizes.append(stop - start)
-                data.append(pack(start, stop))
+                data.append(packed)
             start = stop
         recipes.append(b"".join(recipe))
     return (keys, sizes, data), recipes
@@ -174,6 +177,7 @@ def write_store(docs: DataFrame, to: str, path: str, pattern: str | None = None,
                 if end_id is not None:
                     ids, at = np.insert(ids, at[1:], end_id), at + np.arange(len(at))
                 chunks, recipes = chunked(ids, at, seen)
+                recipes = [recipe_root(r) + r for r in recipes]
                 docs = len(recipes)
                 names_of = [task + i.to_bytes(8, "big") for i in range(row, row + docs)]
                 row += docs
@@ -181,21 +185,12 @@ def write_store(docs: DataFrame, to: str, path: str, pattern: str | None = None,
                     if len(cols[0]):
                         yield pa.RecordBatch.from_arrays([pa.array([kind] * len(cols[0]), pa.int32()), *[pa.array(x, k) for x, k in zip(cols, (pa.binary(), pa.int64(), pa.int64(), pa.binary()), strict=True)]], names)
 
-    def once(batches):
-        seen: set[bytes] = set()
-        for batch in batches:
-            keep = []
-            for i, (kind, key) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
-                if kind or key not in seen:
-                    keep.append(i)
-                    if not kind:
-                        seen.add(key)
-            yield batch.take(pa.array(keep, pa.int64()))
-
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = source.mapInArrow(run, schema).repartition(n, "key").mapInArrow(once, schema)
+    dealt = source.mapInArrow(run, schema).repartition(n, "key").dropDuplicates(["kind", "key"])
     staged = f"{to}/staged"
-    dealt.write.partitionBy("kind").option("compression", "zstd").parquet(staged)
+    # chunks and recipes do not repeat, so a dictionary would be work for nothing
+    plain = {"compression": "zstd", "parquet.compression.codec.zstd.level": "1", "parquet.enable.dictionary": "false"}
+    dealt.write.partitionBy("kind").options(**plain).parquet(staged)
     move = spark._jvm.org.apache.hadoop.fs.Path
     fs = move(to).getFileSystem(spark._jsc.hadoopConfiguration())
     if fs.exists(move(f"{staged}/kind=0")):
@@ -206,14 +201,11 @@ def write_store(docs: DataFrame, to: str, path: str, pattern: str | None = None,
     order = [F.col("doc_id").asc_nulls_first(), F.col("data"), F.col("key")]
     placed = prefix_sum(rows, order, F.col("n"), "start", scratch)
 
-    def rooted(batches):
-        for batch in batches:
-            roots = [recipe_root(r) for r in batch.column(3).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(roots, pa.binary())], ["doc_id", "start", "n_tokens", "chunks", "root"])
-
-    listed = placed.select("doc_id", "start", F.col("n").alias("n_tokens"), F.col("data").alias("chunks"), "key")
+    # a staged recipe follows its root
+    split = [F.expr(f"substring(data, {KEY + 1}, octet_length(data) - {KEY})").alias("chunks"), F.expr(f"substring(data, 1, {KEY})").alias("root")]
+    listed = placed.select("doc_id", "start", F.col("n").alias("n_tokens"), *split, "key")
     listed = listed.repartitionByRange(n, "start", "key").sortWithinPartitions("start", "key").drop("key")
-    listed.mapInArrow(rooted, "doc_id long, start long, n_tokens long, chunks binary, root binary").write.parquet(f"{to}/docs")
+    listed.write.options(**plain).parquet(f"{to}/docs")
     parts = _parts(spark.read.parquet(f"{to}/docs"))
     parts.write.parquet(f"{to}/manifest")
     fs.delete(move(staged), True)
@@ -265,11 +257,12 @@ def _verified(batches, give, kind: pa.DataType, name: str):
     """Batches of (key, n, what `give` makes of a chunk's bytes) of chunks that match their keys."""
     for batch in batches:
         keys, sizes, made = batch.column(0).to_pylist(), [], []
+        blake = hashlib.blake2b
         for key, data in zip(keys, batch.column(1).to_pylist(), strict=True):
-            raw = unpack(data).tobytes()
-            if hashlib.blake2b(raw, digest_size=KEY).digest() != key:
+            if blake(data, digest_size=KEY).digest() != key:
                 raise ValueError("a chunk does not match its key")
-            sizes.append(len(raw) // 4)
+            raw = unpack(data)
+            sizes.append(len(raw))
             made.append(give(raw))
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(made, kind)], ["key", "n", name])
 
@@ -288,7 +281,7 @@ def read_ids(spark: SparkSession, store: str) -> DataFrame:
     """doc_id, start, n_tokens and ids array<int>, put together from verified chunks; the ids cross the network once."""
 
     def run(batches):
-        yield from _verified(batches, lambda raw: raw, pa.binary(), "ids")
+        yield from _verified(batches, np.ndarray.tobytes, pa.binary(), "ids")
 
     def whole(batches):
         for batch in batches:

@@ -41,6 +41,8 @@ ORDER, MU = 3, 32.0
 END, START = 0, 1
 #: Bytes of texts in a block, about.
 BLOCK_BYTES = 12_000_000
+#: n-grams are told apart by 56 bits of their hashes: of 10**12 n-grams one in 70,000 shares its hash with another.
+_BITS, _DROP = 56, np.uint64(8)
 _MIX, _ADD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
 
 
@@ -85,7 +87,7 @@ class Block:
                 older[1:] = key[:-1]
                 key = _scrambled(older * _MIX + word + np.uint64(k))
             valid = back >= max(k, 1) if k else np.ones(len(key), bool)
-            found, inverse = np.unique(key[valid], return_inverse=True)
+            found, inverse = np.unique(key[valid] >> _DROP, return_inverse=True)
             at = np.full(len(key), -1, dtype=np.int32)
             at[valid] = inverse
             self.grams.append(found)
@@ -168,14 +170,14 @@ def score_documents(docs: DataFrame, learn: Column, order: int = ORDER, mu: floa
     columns of docs, says which documents are counted; n_known counts tokens that training texts hold."""
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length(docs[text]) + 8)).first()[0] or 0
-    n = max(1, -(-size // BLOCK_BYTES))
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BLOCK_BYTES))
     labels = _labels(spark, n)
     pick = F.element_at(F.array(*map(F.lit, labels)), (F.pmod(F.xxhash64(docs[doc_id], docs[text]), F.lit(n)) + 1).cast("int"))
     dealt = docs.select(pick.alias("block"), docs[doc_id].alias("doc_id"), docs[text].alias("text"), F.coalesce(learn, F.lit(False)).alias("learn")).repartition(n, "block")
-    edges = np.array([(i << 64) // n for i in range(n)], dtype=object)
+    edges = np.array([(i << _BITS) // n for i in range(n)], dtype=np.uint64)
 
     def split(keys: np.ndarray) -> list[int]:
-        return [0, *np.searchsorted(keys, np.array([int(e) for e in edges[1:]], dtype=np.uint64)).tolist(), len(keys)]
+        return [0, *np.searchsorted(keys, edges[1:]).tolist(), len(keys)]
 
     def profile(batches):
         by: dict[int, tuple[list, list]] = {}

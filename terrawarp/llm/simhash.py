@@ -210,28 +210,26 @@ def near_links(nodes: DataFrame, sets: DataFrame, similarity: float, scratch: Sc
     different components, as those links give them, are paired: no link between components is lost, and the nodes of
     a group, the bulk of a hot bucket, are never paired with each other. A bucket of more than LIMIT nodes is dealt
     anew, by each second block that its nodes may share, before its nodes are paired."""
-    fp = scratch.keep(nodes.select("node", "n", "fp"))
+    fp = nodes.select("node", "n", "fp")
     keys = nodes.select(F.explode("keys").alias("k"), "node", "n", F.get("fp", 0).alias("s"))
-    # the node of the smallest hash, so that a group's buckets have few pivots
-    pivot = keys.groupBy("k").agg(F.min(F.struct(F.xxhash64("node").alias("h"), "node", "n", "s")).alias("p"), F.count("*").alias("c"))
-    pivot = scratch.keep(pivot.where("c > 1").select("k", F.col("p.node").alias("b"), F.col("p.n").alias("nb"), F.col("p.s").alias("sb")))
+    # the pivot is the least node, so that a group's buckets have few pivots
+    pivot = keys.groupBy("k").agg(F.min("node").alias("b"), F.min_by("n", "node").alias("nb"), F.min_by("s", "node").alias("sb"), F.count("*").alias("c"))
+    pivot = pivot.where("c > 1").select(F.col("k").bitwiseXOR(F.lit(0)).alias("k"), "b", "nb", "sb")  # as in `components`
     own = keys.select("k", F.col("node").alias("a"), F.col("n").alias("na"), F.col("s").alias("sa"))
-    near = own.join(pivot, "k").where((F.col("a") != F.col("b")) & _may("a", "b", similarity)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    near = own.join(pivot, "k").where((F.col("a") > F.col("b")) & _may("a", "b", similarity)).select("a", "b")
     edges = scratch.keep(verified(_close(near.distinct(), fp, similarity, scratch), sets, similarity))
     group = components(edges, scratch)
     named = scratch.keep(nodes.join(group, "node", "left").withColumn("label", F.coalesce("label", "node")))
     rows = named.select(F.explode("keys").alias("k"), "node", "label", "n", F.get("fp", 0).alias("s"))
     load = rows.groupBy("k").agg(F.count("*").alias("c"), (F.min("label") != F.max("label")).alias("open"))
     load = scratch.keep(load.where("open").select("k", "c"))
-    rest = [_across(rows.join(load.where(F.col("c") <= LIMIT).select("k"), "k", "left_semi"), ["k"], similarity)]
+    pairs = _across(rows, load.where(F.col("c") <= LIMIT), ["k"], similarity)
     hot = load.where(F.col("c") > LIMIT)
     if hot.take(1):
-        wider = scratch.keep(rows.join(hot.select("k"), "k", "left_semi"))
         second = named.select("node", F.explode("keys").alias("k2"))
-        wider = scratch.keep(wider.join(second, "node").where("k <> k2"))
-        twice = scratch.keep(wider.groupBy("k", "k2").agg((F.min("label") != F.max("label")).alias("open")).where("open").select("k", "k2"))
-        rest.append(_across(wider.join(twice, ["k", "k2"], "left_semi"), ["k", "k2"], similarity))
-    pairs = rest[0] if len(rest) == 1 else rest[0].unionByName(rest[1])
+        wider = scratch.keep(rows.join(hot.select("k"), "k").join(second, "node").where("k <> k2"))
+        twice = wider.groupBy("k", "k2").agg((F.min("label") != F.max("label")).alias("open")).where("open")
+        pairs = pairs.unionByName(_across(wider, scratch.keep(twice), ["k", "k2"], similarity))
     return edges.unionByName(verified(_close(pairs.distinct(), fp, similarity, scratch), sets, similarity))
 
 
@@ -247,10 +245,10 @@ def _may(a: str, b: str, similarity: float) -> Column:
     return (F.least(x, y) >= F.greatest(x, y) * similarity - 1e-6) & (F.bit_count(F.col(f"s{a}").bitwiseXOR(F.col(f"s{b}"))) <= _most(64, F.least(x, y), similarity))
 
 
-def _across(rows: DataFrame, keys: list[str], similarity: float) -> DataFrame:
-    """Pairs (a, b) of nodes of a bucket that belong to different components and may be similar."""
+def _across(rows: DataFrame, buckets: DataFrame, keys: list[str], similarity: float) -> DataFrame:
+    """Pairs (a, b) of nodes of one of these buckets that belong to different components and may be similar."""
     x, y = (rows.select(*keys, F.col("node").alias(i), F.col("label").alias(f"l{i}"), F.col("n").alias(f"n{i}"), F.col("s").alias(f"s{i}")) for i in "ab")
-    met = x.join(y, keys).where((F.col("la") < F.col("lb")) & _may("a", "b", similarity))
+    met = x.join(buckets.select(*keys), keys).join(y, keys).where((F.col("la") < F.col("lb")) & _may("a", "b", similarity))
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
