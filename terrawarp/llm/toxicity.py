@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .bpe import blocks
 from .common import free_name, table
 
 #: FTRL: alpha, beta, L1, L2, passes; labelled rows to learn from.
@@ -101,8 +102,10 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = SAMPLE,
     texts = docs.select(docs[doc_id].alias("_id"), docs[text].alias("_text")).join(F.broadcast(rows), "_id")
 
     def extract(batches):
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([np.unique(features(t)).tobytes() for t in b.column(1).to_pylist()], pa.binary())], ["id", "y", "f"])
+        for batch in batches:
+            for part in blocks(batch.column(1)):
+                found = [np.unique(features(t)).tobytes() for t in batch.column(1)[part].to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column(0)[part], batch.column(2)[part], pa.array(found, pa.binary())], ["id", "y", "f"])
 
     def train(group):
         got = sorted(zip(group["id"].to_pylist(), group["y"].to_pylist(), group["f"].to_pylist(), strict=True), key=lambda r: (xxhash.xxh64_intdigest(str(r[0]).encode(), 1), r))
@@ -127,9 +130,11 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     def run(batches):
         m = Model(keys, weights, bias)
-        for b in batches:
-            s = np.array([m.score(x) for x in b.column(b.num_columns - 1).to_pylist()], dtype=float)
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(s, pa.float64()), pa.array((s >= 0.5).astype(np.int32), pa.int32())], [*kept, "score", "predicted"])
+        for batch in batches:
+            texts = batch.column(batch.num_columns - 1)
+            for part in blocks(texts):
+                s = np.array([m.score(x) for x in texts[part].to_pylist()], dtype=float)
+                yield pa.RecordBatch.from_arrays([*(c[part] for c in batch.columns[:-1]), pa.array(s, pa.float64()), pa.array((s >= 0.5).astype(np.int32), pa.int32())], [*kept, "score", "predicted"])
 
     return source.mapInArrow(run, T.StructType([*[source.schema[c] for c in kept], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]))
 
