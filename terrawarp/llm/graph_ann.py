@@ -1,9 +1,10 @@
 """Approximate nearest neighbours by a robust-pruned directed graph in each shard.
 
-Rows are dealt into shards of bounded size. In a shard, greedy searches over the graph so far propose neighbours for
+Rows are dealt into shards of bounded size, by regions. In a shard, greedy searches over the graph so far propose neighbours for
 each row, relaxed distance pruning keeps edges to diverse ones (a candidate is dropped if a kept neighbour is nearer
 to it by the factor ALPHA), edges are made both ways and pruned again; a second pass repeats this on the whole graph.
-A query beams through every shard's graph and the shards' best answers are merged.
+A query beams through the graphs of one shard and then of the regions whose bound reaches its k-th score so far (see
+`vectors`), and the shards' best answers are merged.
 
 Nearness is the inner product. Vectors get one component more, sqrt(M^2 - |x|^2) with M the shard's longest, under
 which the largest inner product is the smallest distance; the answers' scores are inner products of the original
@@ -11,7 +12,8 @@ vectors in double precision. Equal vectors of a shard are one node that keeps it
 crowd the beam nor break ties wrongly.
 
 Defined results: vectors that are null, zero or hold null or non-finite components, and rows without an id, take no
-part. Repeated rows (id and vector) count as rows of one id; a query never finds its own id. Fewer candidates than
+part. Rows of one id count as one, by their best score that is found; of several vectors of a query's id the least one
+asks, compared component by component; a query never finds its own id. Fewer candidates than
 asked for: all that are found. An empty table, or one without queries: no rows. Shorter vectors count as filled up
 with zeros. Extra columns are ignored.
 """
@@ -25,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Scratch, table
-from .vectors import answered, common_width, divisible, packed, usable
+from .vectors import answered, common_width, divisible, usable
 
 #: Rows of a shard and of a query block; edges of a node; beam while building and while searching; pruning factor.
 SHARD, BLOCK, DEGREE, BUILD_BEAM, BEAM, ALPHA = 4096, 1024, 24, 48, 160, 1.2
@@ -124,20 +126,23 @@ def build_graph(points: np.ndarray, degree: int = DEGREE, beam: int = BUILD_BEAM
 
 
 def pack_shard(ids: np.ndarray, vecs: np.ndarray, k: int) -> bytes:
-    """A shard's graph over its distinct vectors, with the k + 1 smallest ids of each."""
+    """A shard's graph over its distinct vectors, with the k + 1 smallest ids of each, and the most distinct vectors
+    that one id has."""
     distinct, which = np.unique(vecs, axis=0, return_inverse=True)
-    order = np.lexsort((ids, which.ravel()))
-    cut = np.searchsorted(which.ravel()[order], np.arange(len(distinct) + 1))
+    which = which.ravel()
+    order = np.lexsort((ids, which))
+    cut = np.searchsorted(which[order], np.arange(len(distinct) + 1))
     members = [np.unique(ids[order[a:b]])[: k + 1] for a, b in zip(cut[:-1], cut[1:], strict=True)]
+    several = int(np.unique(np.unique(np.stack([ids, which]), axis=1)[0], return_counts=True)[1].max())
     norms = (distinct**2).sum(axis=1)
     points = np.concatenate([distinct, np.sqrt(np.maximum(norms.max() - norms, 0))[:, None]], axis=1)
     edges, entry = build_graph(points)
-    return pickle.dumps((distinct, members, edges.astype(np.int32), entry), protocol=5)
+    return pickle.dumps((distinct, members, edges.astype(np.int32), entry, several), protocol=5)
 
 
 def search_shard(data: bytes, asked: bytes, k: int, beam: int) -> tuple[list, list, list]:
     """The k best candidates of each query of a block in a shard, by exact inner product and smaller id."""
-    vecs, members, edges, entry = pickle.loads(data)
+    vecs, members, edges, entry, several = pickle.loads(data)
     ids, queries = pickle.loads(asked)
     vecs, queries = common_width(vecs, queries)
     norms = (vecs**2).sum(axis=1)
@@ -146,12 +151,15 @@ def search_shard(data: bytes, asked: bytes, k: int, beam: int) -> tuple[list, li
     out_q, out_v, out_s = [], [], []
     for i in range(0, len(ids), BATCH):
         q = queries[i : i + BATCH]
-        found, _ = beam_search(points, sq, edges.astype(np.int64), entry, np.pad(q, ((0, 0), (0, 1))), max(beam, k + 1))
+        found, _ = beam_search(points, sq, edges.astype(np.int64), entry, np.pad(q, ((0, 0), (0, 1))), max(beam, (k + 1) * several))
         for own, x, near in zip(ids[i : i + BATCH].tolist(), q, found, strict=True):
             near = near[near >= 0]
             scores = (vecs[near] * x).sum(axis=1)
             got = [(-s, v) for s, p in zip(scores.tolist(), near.tolist(), strict=True) for v in members[p].tolist() if v != own]
-            for s, v in sorted(got)[:k]:
+            best: dict[int, float] = {}
+            for s, v in sorted(got):
+                best.setdefault(v, s)
+            for v, s in list(best.items())[:k]:
                 out_q.append(own)
                 out_v.append(v)
                 out_s.append(-s)
@@ -160,18 +168,8 @@ def search_shard(data: bytes, asked: bytes, k: int, beam: int) -> tuple[list, li
 
 def graph_search(rows: DataFrame, queries: DataFrame, k: int, beam: int = BEAM, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score) of the k nearest rows found for each query; both sides have the named columns."""
-    scratch = Scratch(rows.sparkSession)
-    data = usable(rows, vec_id, embedding, zero=False)
-    asked = usable(queries, vec_id, embedding, zero=False)
-    shards, n = packed(data, SHARD, lambda i, v: pack_shard(i, v, k), scratch)
-    blocks, _ = packed(asked, BLOCK, lambda i, v: pickle.dumps(_once(i, v), protocol=5), scratch)
-    return answered(shards, n, blocks, lambda d, q: search_shard(d, q, k, beam), "double", k)
-
-
-def _once(ids: np.ndarray, vecs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The first row of each id: a query that stands twice is asked once."""
-    ids, first = np.unique(ids, return_index=True)
-    return ids, vecs[first]
+    data, asked = usable(rows, vec_id, embedding, zero=False), usable(queries, vec_id, embedding, zero=False)
+    return answered(data, asked, k, (SHARD, BLOCK), lambda v: v, lambda i, v: pack_shard(i, v, k), lambda i, v: pickle.dumps((i, v), protocol=5), lambda d, q: search_shard(d, q, k, beam), "double", Scratch(rows.sparkSession))
 
 
 def op6_graph_ann(spark: SparkSession, sf_dir: str) -> DataFrame:

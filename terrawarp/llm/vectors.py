@@ -1,7 +1,20 @@
-"""What both vector searches share: usable rows, shards of rows, blocks of queries, and the merge of their answers."""
+"""What both vector searches share: usable rows, regions and shards of rows, blocks of queries, bounds that spare
+shards, and the merge of their answers.
+
+Rows are dealt into regions, each that of the nearest centre; centres are a bounded sample of the rows. A region above
+the size of a shard is dealt into several by its ids' hashes, so no group of near or equal vectors meets in one task.
+What the driver holds is a centre, a radius and a count for each of REGIONS regions at most.
+
+A query first meets one shard of the region that promises most. A region of centre c and radius r holds no product
+with q above q.c + r|q|; the query then meets the shards of those regions alone whose bound reaches the k-th score that
+it has by then. Both are left out of no answer: what is spared can't hold one.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -9,6 +22,9 @@ from pyspark.sql import functions as F
 
 from .common import Scratch
 
+#: Regions at most; centres are this many rows at most, those of the smallest hashes.
+REGIONS = 1024
+
 
 def usable(vectors: DataFrame, vec_id: str, embedding: str, zero: bool) -> DataFrame:
     """(vec_id, embedding array<double>) of rows with an id whose vector is not null, holds neither null nor non-finite
@@ -21,14 +37,19 @@ def usable(vectors: DataFrame, vec_id: str, embedding: str, zero: bool) -> DataF
     return vectors.where(ok).select(vectors[vec_id].cast("long").alias("vec_id"), e.alias("embedding"))
 
 
-def matrix(ids: pa.Array, rows: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and vectors, sorted by id; vectors shorter than the longest are filled up with zeros."""
-    id_, vecs = np.array(ids.to_pylist(), dtype=np.int64), rows.to_pylist()
-    out = np.zeros((len(vecs), max((len(v) for v in vecs), default=0)))
-    for i, v in enumerate(vecs):
-        out[i, : len(v)] = v
-    order = np.argsort(id_, kind="stable")
-    return id_[order], out[order]
+def rows_of(vectors: pa.Array) -> np.ndarray:
+    """A matrix of a column of vectors; those shorter than the longest are filled up with zeros."""
+    n = np.asarray(vectors.value_lengths()).astype(np.int64)
+    out, flat = np.zeros((len(n), int(n.max(initial=0)))), np.asarray(vectors.flatten())
+    out[np.arange(out.shape[1])[None, :] < n[:, None]] = flat
+    return out
+
+
+def matrix(ids: pa.Array, vectors: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and vectors, sorted by id."""
+    ids, out = np.asarray(ids), rows_of(vectors)
+    order = np.argsort(ids, kind="stable")
+    return ids[order], out[order]
 
 
 def common_width(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -37,34 +58,139 @@ def common_width(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.pad(a, ((0, 0), (0, w - a.shape[1]))), np.pad(b, ((0, 0), (0, w - b.shape[1])))
 
 
-def packed(rows: DataFrame, size: int, build, scratch: Scratch) -> tuple[DataFrame, int]:
-    """(part int, data binary): rows dealt by their id's hash into parts of about `size`, each built into one value."""
-    parts = max(1, -(-rows.count() // size))
+def _lists(rows: np.ndarray) -> pa.ListArray:
+    at = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
+    return pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(rows.ravel(), pa.float64()))
+
+
+@dataclass
+class Regions:
+    """Centres, radii, and the first shard and the number of shards of each region."""
+
+    centres: np.ndarray
+    radii: np.ndarray
+    first: np.ndarray
+    shards: np.ndarray
+
+    def bounds(self, queries: np.ndarray) -> np.ndarray:
+        """(query, region): what no product of the query with a row of the region is above."""
+        q, c = common_width(queries, self.centres)
+        product, length = q @ c.T, np.sqrt((q * q).sum(axis=1))[:, None]
+        out = product + length * self.radii[None, :]
+        # room for rounding, here and in the scores
+        return out + 1e-9 * (np.abs(out) + length * (self.radii + np.sqrt((c * c).sum(axis=1)))[None, :]) + 1e-9
+
+
+def placed(rows: DataFrame, size: int, prepare: Callable, scratch: Scratch) -> tuple[DataFrame, Regions]:
+    """(vec_id, embedding, part) with prepared vectors, and the regions that parts belong to."""
+    wanted = min(REGIONS, max(1, -(-rows.count() // size)))
+    sample = rows.orderBy(F.xxhash64("vec_id", "embedding"), "vec_id").limit(wanted).collect()
+    if not sample:
+        return rows.withColumn("part", F.lit(0)), Regions(np.zeros((0, 0)), np.zeros(0), np.zeros(0, int), np.zeros(0, int))
+    centres = np.unique(prepare(rows_of(pa.array([r.embedding for r in sample], pa.list_(pa.float64())))), axis=0)
+
+    def assign(batches):
+        for batch in batches:
+            x, c = common_width(prepare(rows_of(batch.column(1))), centres)
+            near = ((c * c).sum(axis=1)[None, :] - 2 * x @ c.T).argmin(axis=1)
+            far = np.sqrt(((x - c[near]) ** 2).sum(axis=1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(x), pa.array(near.astype(np.int32)), pa.array(far)], ["vec_id", "embedding", "region", "far"])
+
+    kept = scratch.keep(rows.mapInArrow(assign, "vec_id long, embedding array<double>, region int, far double"))
+    radii, shards = np.zeros(len(centres)), np.zeros(len(centres), dtype=np.int64)
+    for r in kept.groupBy("region").agg(F.max("far").alias("far"), F.count("*").alias("n")).collect():  # a row a region
+        radii[r.region], shards[r.region] = r.far, -(-r.n // size)
+    first = np.cumsum(shards) - shards
+    of = lambda numbers: F.element_at(F.array(*map(F.lit, numbers.tolist())), F.col("region") + 1)
+    part = of(first) + F.pmod(F.xxhash64("vec_id"), F.greatest(of(shards), F.lit(1)))
+    return kept.select("vec_id", "embedding", part.cast("int").alias("part")), Regions(centres, radii, first, shards)
+
+
+def packed(rows: DataFrame, keys: list[str], groups: int, build: Callable, scratch: Scratch) -> DataFrame:
+    """(part int, data binary): the rows of each value of the keys, the first of which is `part`, built into one value."""
 
     def run(group):
         ids, vecs = matrix(group["vec_id"].combine_chunks(), group["embedding"].combine_chunks())
         return pa.table({"part": pa.array([group["part"][0].as_py()], pa.int32()), "data": pa.array([build(ids, vecs)], pa.binary())})
 
-    # few bytes but much work: the stated number keeps parts from being put together into few tasks
-    dealt = rows.withColumn("part", F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int")).repartition(4 * parts, "part")
-    return scratch.keep(dealt.groupBy("part").applyInArrow(run, "part int, data binary")), parts
+    # few bytes but much work: the stated number keeps groups from being put together into few tasks
+    dealt = rows.repartition(4 * max(1, groups), *keys)
+    return scratch.keep(dealt.groupBy(*keys).applyInArrow(run, "part int, data binary"))
+
+
+def asked_once(queries: DataFrame, prepare: Callable, scratch: Scratch) -> DataFrame:
+    """(vec_id, embedding) of queries, prepared; of several vectors of one id the least asks."""
+
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(prepare(rows_of(batch.column(1))))], ["vec_id", "embedding"])
+
+    ready = queries.mapInArrow(run, "vec_id long, embedding array<double>")
+    return scratch.keep(ready.groupBy("vec_id").agg(F.min("embedding").alias("embedding")))
+
 
+def first_routes(asked: DataFrame, regions: Regions) -> DataFrame:
+    """(vec_id, embedding, part): one shard of the region of the highest bound, for each query."""
 
-def answered(shards: DataFrame, n_shards: int, blocks: DataFrame, search, score: str, k: int) -> DataFrame:
-    """(query_id, rank, vec_id, score): every block of the stated queries meets every shard of the index, and the k best
-    of each pair's answers are merged; each shard gives k at most for a query, so a query's rows are k a shard."""
-    asked = blocks.select(F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))).alias("part"), F.col("data").alias("asked"))
-    met = shards.join(asked, "part").select("data", "asked").repartition(4 * n_shards)
+    def run(batches):
+        for batch in batches:
+            q, ids = rows_of(batch.column(1)), np.asarray(batch.column(0))
+            best = regions.bounds(q).argmax(axis=1)
+            part = regions.first[best] + ids % regions.shards[best]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(part.astype(np.int32))], ["vec_id", "embedding", "part"])
+
+    return asked.mapInArrow(run, "vec_id long, embedding array<double>, part int")
+
+
+def other_routes(met: DataFrame, regions: Regions) -> DataFrame:
+    """(vec_id, embedding, part): the other shards that each query has to meet, from rows (vec_id, embedding, part,
+    kth) of the shard that it has met and its k-th score so far (null: fewer than k)."""
+
+    def run(batches):
+        for batch in batches:
+            kth = np.array([-np.inf if x is None else float(x) for x in batch.column(3).to_pylist()])
+            open_ = regions.bounds(rows_of(batch.column(1))) >= kth[:, None]
+            parts = []
+            for own, row in zip(batch.column(2).to_pylist(), open_, strict=True):
+                to = [p for r in np.flatnonzero(row).tolist() for p in range(regions.first[r], regions.first[r] + regions.shards[r])]
+                parts.append([p for p in to if p != own])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(parts, pa.list_(pa.int32()))], ["vec_id", "embedding", "part"])
+
+    routed = met.select("vec_id", "embedding", "part", "kth").mapInArrow(run, "vec_id long, embedding array<double>, part array<int>")
+    return routed.withColumn("part", F.explode("part"))
+
+
+def answered(rows: DataFrame, queries: DataFrame, k: int, sizes: tuple[int, int], prepare: Callable, shard: Callable, block: Callable, search: Callable, score: str, scratch: Scratch) -> DataFrame:
+    """(query_id, rank, vec_id, score): the k best answers of the shards that each query meets. `sizes`: rows of a shard
+    and queries of a block. Each shard gives k at most for a query, by the best score of each vec_id."""
+    out = "query_id long, vec_id long, score " + score
+    data, regions = placed(rows, sizes[0], prepare, scratch)
+    if not len(regions.first):
+        return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score " + score)
+    shards = packed(data, ["part"], int(regions.shards.sum()), shard, scratch)
+    asked = asked_once(queries, prepare, scratch)
+    blocks = max(1, -(-asked.count() // sizes[1]))
 
     def run(batches):
         for batch in batches:
-            for data, q in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids, found, scores = search(data, q)
+            for x, q in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                ids, found, scores = search(x, q)
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found, pa.int64()), pa.array(scores, pa.int64() if score == "long" else pa.float64())], ["query_id", "vec_id", "score"])
 
-    got = met.mapInArrow(run, f"query_id long, vec_id long, score {score}")
+    def met(routes):
+        dealt = routes.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
+        several = packed(dealt, ["part", "block"], blocks, block, scratch).withColumnRenamed("data", "asked")
+        pairs = shards.join(several, "part").select("data", "asked").repartition(4 * int(regions.shards.sum()))
+        return scratch.keep(pairs.mapInArrow(run, out))
+
+    routes = scratch.keep(first_routes(asked, regions))
+    near = met(routes)
+    kth = near.groupBy(F.col("query_id").alias("vec_id")).agg(F.when(F.count("*") >= k, F.min("score")).alias("kth"))
+    far = met(other_routes(routes.join(kth, "vec_id", "left"), regions))
+    # an id of several vectors counts by its best
+    best = near.unionByName(far).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return got.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    return best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
 def divisible(column: Column, by: int) -> Column:

@@ -15,6 +15,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from terrawarp.llm import bpe, cover_topk, graph_ann, id_store, line_dedup, lm, mixing, simhash, toxicity, url_filter
+from terrawarp.llm import vectors as vectors_
 from terrawarp.llm.common import Scratch, components, prefix_sum, word_count
 
 DOCS = "doc_id long, text string, source string, size int, Score string"
@@ -268,8 +269,10 @@ def test_line_dedup_edges(spark):
 def brute_top(rows, queries, k, score):
     out = {}
     for q, v in queries:
-        best = sorted((-score(v, x), i) for i, x in {(i, tuple(x)) for i, x in rows} if i != q)[:k]
-        out[q] = [(i, -s) for s, i in best]
+        best = {}
+        for s, i in sorted((-score(v, x), i) for i, x in {(i, tuple(x)) for i, x in rows} if i != q):
+            best.setdefault(i, -s)
+        out[q] = list(best.items())[:k]
     return out
 
 
@@ -296,12 +299,58 @@ def test_exact_topk(spark, monkeypatch):
     assert cover_topk.exact_topk(df.where("vec_id < 2"), df.where("vec_id = 0"), 5).count() == 1
 
 
+def test_vectors_of_one_id(spark, monkeypatch):
+    """Rows that share an id count by their best, in one shard and across shards; the least vector of an id asks."""
+    rows = [(i // 3, x) for i, x in vectors(900, 5, copies=60)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    asks = [(q, min(x for i, x in rows if i == q)) for q in range(0, 300, 20)]
+    for size in (100, 5000):
+        monkeypatch.setattr(cover_topk, "SHARD", size)
+        got = collections.defaultdict(list)
+        for r in cover_topk.exact_topk(df, df.where("vec_id % 20 = 0"), 5).orderBy("query_id", "rank").collect():
+            got[r.query_id].append((r.vec_id, r.score))
+        whole = lambda v: [math.floor(256 * x) for x in v]
+        floored = [(q, min(whole(x) for i, x in rows if i == q)) for q, _ in asks]
+        assert dict(got) == brute_top([(i, whole(x)) for i, x in rows], floored, 5, lambda a, b: sum(x * y for x, y in zip(a, b, strict=True)))
+    got = collections.defaultdict(list)
+    for r in graph_ann.graph_search(df, df.where("vec_id % 20 = 0"), 20).collect():
+        got[r.query_id].append(r.vec_id)
+    want = brute_top(rows, asks, 20, lambda a, b: float(np.dot(a, b)))
+    assert all(len(set(v)) == len(v) == 20 for v in got.values())
+    assert sum(len({i for i, _ in want[q]} & set(got[q])) for q in want) >= 0.9 * 20 * len(want)
+
+
+def test_regions_spare_shards(spark, monkeypatch):
+    """On clustered vectors most shards can't hold an answer, and are not met; nor is a hot cluster one shard."""
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(12, 16)) * 4
+    x = np.concatenate([centres[rng.integers(0, 12, 1200)] + rng.normal(size=(1200, 16)) / 9, np.repeat(centres[:1], 600, axis=0)])
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(np.float32(x))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    data = vectors_.usable(df, "vec_id", "embedding", zero=True)
+    kept, regions = vectors_.placed(data, 100, lambda v: v, Scratch(spark))
+    assert max(r["count"] for r in kept.groupBy("part").count().collect()) < 200
+    asked = vectors_.asked_once(data.where("vec_id % 10 = 0"), lambda v: v, Scratch(spark))
+    routes = vectors_.first_routes(asked, regions)
+    exact = brute_top(rows, [(i, v) for i, v in rows if i % 10 == 0], 5, lambda a, b: float(np.dot(a, b)))
+    kth = spark.createDataFrame([(q, found[-1][1]) for q, found in exact.items()], "vec_id long, kth double")
+    pairs = vectors_.other_routes(routes.join(kth, "vec_id"), regions).count()
+    assert pairs < 0.5 * asked.count() * int(regions.shards.sum())
+    monkeypatch.setattr(cover_topk, "SHARD", 100)
+    monkeypatch.setattr(graph_ann, "SHARD", 100)
+    got = collections.defaultdict(list)
+    for r in graph_ann.graph_search(df, df.where("vec_id % 10 = 0"), 5).collect():
+        got[r.query_id].append(r.vec_id)
+    assert sum(len({i for i, _ in exact[q]} & set(got[q])) for q in exact) >= 0.9 * 5 * len(exact)
+
+
 def test_exact_topk_of_huge_components():
     rng = np.random.default_rng(4)
     v = rng.integers(-(2**40), 2**40, size=(60, 3)).astype(float)
     ids = np.arange(60)
     got = collections.defaultdict(list)
-    for q, i, s in zip(*cover_topk.dual_search(cover_topk.pack_points(ids, v, 4), cover_topk.pack_points(ids[:9], v[:9], None), 4), strict=True):
+    w = cover_topk.whole(v)
+    for q, i, s in zip(*cover_topk.dual_search(cover_topk.pack_points(ids, w, 4), cover_topk.pack_points(ids[:9], w[:9], None), 4), strict=True):
         got[q].append((i, s))
     whole = [(i, [int(256 * x) for x in r]) for i, r in enumerate(v.tolist())]
     clip = lambda s: max(min(s, 2**63 - 1), -(2**63))
