@@ -28,10 +28,10 @@ def box_cells(boxes: DataFrame, width: Column | int, height: Column | int) -> Da
     return rows.withColumn("x", F.explode(F.sequence(lo(F.col("x0")), hi(F.col("x1"), w))))
 
 
-def _touched(ring: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Of unit cells with corners (x, y), which the polygon of that outer ring meets: its inside holds the cell's
-    centre or a corner, or an edge crosses the cell."""
-    a, b = ring, np.roll(ring, -1, axis=0)
+def _touched(rings: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Of unit cells with corners (x, y), which the polygon of those rings meets: its inside (an odd number of rings)
+    holds the cell's centre or a corner, or an edge crosses the cell."""
+    a, b = np.concatenate(rings), np.concatenate([np.roll(r, -1, axis=0) for r in rings])
     hit = np.zeros(len(x), dtype=bool)
     for px, py in ((x + 0.5, y + 0.5), (x, y), (x + 1, y), (x, y + 1), (x + 1, y + 1)):
         above = (a[:, 1][:, None] > py) != (b[:, 1][:, None] > py)
@@ -53,30 +53,32 @@ def _touched(ring: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def polygon_cells(polygons: DataFrame, width: int, height: int, keep: list[str]) -> DataFrame:
-    """(keep..., y, x): cells that polygons touch. Column ring: array<struct<x,y>>, in pixel coordinates.
+    """(keep..., y, x): cells that polygons touch. Column rings, array<array<struct<x,y>>>, or ring, one of them, in
+    pixel coordinates; a cell within a hole is not touched.
 
     Null rings, rings below three points and rings with NaN are no geometries. Candidate cells are those of the
     bounding box, a bounded block of rows at a time; only the exact predicate is in Python."""
     schema = ", ".join([*(f"{c} {polygons.schema[c].dataType.simpleString()}" for c in keep), "y int", "x int"])
+    rings = F.col("rings") if "rings" in polygons.columns else F.array("ring")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for row in frame.itertuples(index=False):
-                ring = getattr(row, "ring")
-                pts = np.array([(p["x"], p["y"]) for p in ring], dtype=float) if ring is not None and len(ring) >= 3 else None
-                if pts is None or not np.isfinite(pts).all():
+                found = [None if r is None or len(r) < 3 else np.array([(p["x"], p["y"]) for p in r], dtype=float) for r in (row.rings if row.rings is not None else [None])]
+                if not found or any(r is None or not np.isfinite(r).all() for r in found):
                     continue
+                pts = np.concatenate(found)
                 x0, x1 = max(int(np.floor(pts[:, 0].min())), 0), min(int(np.ceil(pts[:, 0].max())), width)
                 y0, y1 = max(int(np.floor(pts[:, 1].min())), 0), min(int(np.ceil(pts[:, 1].max())), height)
                 step = max(1, 200_000 // max(x1 - x0, 1))
                 for top in range(y0, y1, step):
                     gy, gx = np.mgrid[top : min(top + step, y1), x0:x1]
                     gy, gx = gy.ravel(), gx.ravel()
-                    hit = _touched(pts, gx.astype(float), gy.astype(float))
+                    hit = _touched(found, gx.astype(float), gy.astype(float))
                     if hit.any():
                         yield pd.DataFrame({**{c: [getattr(row, c)] * int(hit.sum()) for c in keep}, "y": gy[hit].astype("int32"), "x": gx[hit].astype("int32")})
 
-    return polygons.select(*keep, "ring").mapInPandas(run, schema)
+    return polygons.select(*keep, rings.alias("rings")).mapInPandas(run, schema)
 
 
 def pixel_grid(rasters: DataFrame, key: str, width: Column | int, height: Column | int) -> DataFrame:

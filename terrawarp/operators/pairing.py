@@ -45,3 +45,13 @@ def require_pairs(pairs: DataFrame) -> DataFrame:
     if pairs.isEmpty():
         raise ValueError("no image and annotation pairs")
     return pairs
+
+
+def image_labels(tiles: DataFrame, name: str = "name") -> DataFrame:
+    """Image tiles with the path of the annotation tile of the same name and raster; images without one go. tiles: (kind,
+    name, tile_id, token, path, ...) of one split. A name that stands several times meets the last path."""
+    key = ["tile_id", "token", name]
+    labels = tiles.where("kind = 'annotation'").groupBy(*key).agg(F.max("path").alias("label_path"))
+    labels = labels.select(*[F.col(k).alias(f"_{k}") for k in key], "label_path")
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key]
+    return tiles.where("kind = 'image'").join(labels, same).drop(*[f"_{k}" for k in key])

@@ -37,33 +37,49 @@ def spatial_split(rasters: DataFrame, ratio: float, direction: Column | str, wid
 
 
 def random_split(keys: DataFrame, key: str, ratio: float, seed: int) -> DataFrame:
-    """keys with split: the first int(n x ratio) keys by the MD5 of seed and key train. A distributed order: keys are
-    counted by the first 16 bits of the hash (65,536 rows at most), which finds the bucket the boundary lies in; only
-    that bucket is ordered. A file-level list has at most one row a raster."""
+    """keys with split: the first int(n x ratio) keys by the MD5 of seed and key train. Keys are counted by the first 16
+    bits of the hash (65,536 rows at most), which finds the bucket the boundary lies in; only that bucket is ordered, and
+    its last training row is where all others are cut. No row is sorted or shuffled but those of that bucket."""
     h = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
     rows = keys.withColumn("_h", h).withColumn("_b", F.substring("_h", 1, 4))
     hist = rows.groupBy("_b").agg(F.count("*").alias("_n"))
     w = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     every = Window.orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     hist = hist.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0))).withColumn("_take", F.floor(F.sum("_n").over(every) * F.lit(_ratio(ratio))))
-    placed = rows.join(F.broadcast(hist), "_b")
-    edge = (F.col("_before") <= F.col("_take")) & (F.col("_before") + F.col("_n") > F.col("_take"))
+    edge = hist.where("_before <= _take AND _before + _n > _take")
+    inside = rows.join(F.broadcast(edge.select("_b", "_before", "_take")), "_b")
     rank = F.row_number().over(Window.partitionBy("_b").orderBy("_h", key))
-    train = F.when(F.col("_before") + F.col("_n") <= F.col("_take"), True).when(edge, F.col("_before") + rank <= F.col("_take")).otherwise(False)
+    ranked = inside.select("_h", F.col(key).alias("_k"), "_b", (F.col("_before") + rank <= F.col("_take")).alias("_in"))
+    # one row: the boundary's bucket and the last row of it that trains, if any; without an edge all rows train
+    cut = ranked.agg(F.max("_b").alias("_edge"), F.max(F.when(F.col("_in"), F.struct("_h", "_k"))).alias("_last"))
+    placed = rows.crossJoin(F.broadcast(cut))
+    own = F.struct("_h", F.col(key).alias("_k"))
+    train = F.col("_edge").isNull() | (F.col("_b") < F.col("_edge")) | ((F.col("_b") == F.col("_edge")) & F.coalesce(own <= F.col("_last"), F.lit(False)))
     return placed.select(*keys.columns, F.when(train, "train").otherwise("val").alias("split"))
 
 
 def random_split_seeded(keys: DataFrame, key: str, ratio: float, seed: int) -> DataFrame:
-    """The same by a seeded Mersenne shuffle of the keys in order, as a script with Python's random does. The list goes
-    through the driver, so it is for file lists: more than 1,000,000 keys are refused."""
-    names = [r[0] for r in keys.select(key).orderBy(key).limit(1_000_001).collect()]
+    """The same by a seeded Mersenne shuffle of the distinct keys in order, as a script with Python's random does; rows of
+    one key go together. The list goes through the driver, so it is for file lists: more than 1,000,000 are refused."""
+    names = [r[0] for r in keys.select(key).distinct().orderBy(key).limit(1_000_001).collect()]
     if len(names) > 1_000_000:
         raise ValueError("too many keys for the driver; use random_split")
     order = list(range(len(names)))
     random.Random(seed).shuffle(order)
     cut = int(len(names) * _ratio(ratio))
-    plan = keys.sparkSession.createDataFrame([(names[i], "train" if k < cut else "val") for k, i in enumerate(order)], f"{key} {keys.schema[key].dataType.simpleString()}, split string")
-    return keys.join(plan, key)
+    plan = keys.sparkSession.createDataFrame([(names[i], "train" if k < cut else "val") for k, i in enumerate(order)], f"_key {keys.schema[key].dataType.simpleString()}, split string")
+    return keys.join(plan, keys[key].eqNullSafe(plan["_key"])).drop("_key")
+
+
+def numbered(rows: DataFrame, *order: str) -> DataFrame:
+    """rows with a dense number 0, 1, 2, ... in an order; the last name is the number's, the first the leading key, which is
+    dropped. Range partitions are counted, so no task sees all rows."""
+    *by, name = order
+    part = rows.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_p", F.spark_partition_id())
+    sizes = part.groupBy("_p").agg(F.count("*").alias("_n"))
+    sizes = sizes.withColumn("_off", F.sum("_n").over(Window.orderBy("_p")) - F.col("_n")).drop("_n")
+    rank = F.row_number().over(Window.partitionBy("_p").orderBy(*by)) - 1
+    return part.withColumn("_r", rank).join(F.broadcast(sizes), "_p").withColumn(name, (F.col("_off") + F.col("_r")).cast("long")).drop("_p", "_r", "_off", by[0])
 
 
 def filename_split(pairs: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from terrawarp.schema import IGNORE, NODATA
 
 def window_pixels(windows: DataFrame) -> DataFrame:
     """windows with y, x of each pixel they read. One row a pixel and window: for small rasters and for checks; large
-    ones stay in chunks and are scored and blended by block."""
+    ones stay in blocks (see `blocks`)."""
     end = lambda at, size: (F.col(at) + F.col(size) - 1).cast("int")
     rows = windows.withColumn("y", F.explode(F.sequence(F.col("read_y"), end("read_y", "win_h"))))
     return rows.withColumn("x", F.explode(F.sequence(F.col("read_x"), end("read_x", "win_w"))))
@@ -57,20 +57,20 @@ def bilinear(pixels: DataFrame, key: str, value: str, size: tuple[int, int], to:
     """(key, y, x, value): resampled from (h, w) to (h, w), half-pixel centres, edges clamped. Every source pixel sends
     its share to the outputs that read it, so there is no self-join: one aggregation.
 
-    The outputs of a source coordinate are few and contiguous; which they are is a table of the sizes alone."""
+    The outputs of a source coordinate are few and contiguous; which they are follows from it in closed form."""
 
-    def axis(n: int, m: int) -> list[list[tuple[int, float]]]:
-        out: list[list[tuple[int, float]]] = [[] for _ in range(n)]
-        for j in range(m):
-            src = min(max((j + 0.5) * n / m - 0.5, 0.0), n - 1)
-            lo = int(src)
-            for i, w in ((lo, 1 - (src - lo)), (min(lo + 1, n - 1), src - lo)):
-                if w:
-                    out[i].append((j, w))
-        return out
+    def axis(at: Column, n: int, m: int) -> Column:
+        """(j, w) of the outputs that read source coordinate `at`, and how much of it each takes."""
+        i = at.cast("double")
+        lo = F.when(at == 0, 0).otherwise(F.greatest(F.floor((i - 0.5) * m / n - 0.5), F.lit(0)))
+        hi = F.when(at == n - 1, m - 1).otherwise(F.least(F.ceil((i + 1.5) * m / n - 0.5), F.lit(m - 1)))
 
-    def table(rows: list[list[tuple[int, float]]]) -> Column:
-        return F.array(*[F.array(*[F.struct(F.lit(j).alias("j"), F.lit(w).alias("w")) for j, w in r]) if r else F.array().cast("array<struct<j:int,w:double>>") for r in rows])
+        def weight(j: Column) -> Column:
+            src = F.least(F.greatest((j + 0.5) * (n / m) - 0.5, F.lit(0.0)), F.lit(float(n - 1)))
+            return F.greatest(F.lit(1.0) - F.abs(src - i), F.lit(0.0))
 
-    rows = pixels.withColumn("_a", F.explode(F.get(table(axis(size[0], to[0])), F.col("y")))).withColumn("_b", F.explode(F.get(table(axis(size[1], to[1])), F.col("x"))))
+        outputs = F.transform(F.sequence(lo.cast("int"), hi.cast("int")), lambda j: F.struct(j.alias("j"), weight(j).alias("w")))
+        return F.filter(outputs, lambda o: o["w"] > 0)
+
+    rows = pixels.withColumn("_a", F.explode(axis(F.col("y"), size[0], to[0]))).withColumn("_b", F.explode(axis(F.col("x"), size[1], to[1])))
     return rows.groupBy(key, F.col("_a.j").alias("y"), F.col("_b.j").alias("x")).agg(F.sum(F.col(value) * F.col("_a.w") * F.col("_b.w")).alias(value))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from terrawarp.functions import georef, names, pixels
 from terrawarp.operators import evaluate, grid, overlay, pairing, score, splits, stitch
 from terrawarp.plans.fixtures import PROBS, fixture, sql
+from terrawarp.plans.fixtures import table as fixture_table  # noqa: F401
 from terrawarp.schema import CLASSES, class_dim
 from terrawarp.sources.shared import shared_dir
 from terrawarp.streaming import blend
@@ -158,14 +159,17 @@ _KIND_TILES = _tiles_sql(f"(SELECT *, unnest(['image', 'annotation']) AS kind FR
 
 
 def _pair_tiles(spark: SparkSession, d: str) -> DataFrame:
+    """Rasters of pairs by kind and split, with stride and n, their number of tiles in closed form."""
     p = pairing.pair_files(fixture(spark, d, "listing")).withColumn("scene_id", F.split("tile_id", "_")[0].cast("long"))
     s = p.join(fixture(spark, d, "scenes"), "scene_id").withColumn("kind", F.explode(F.array(F.lit("image"), F.lit("annotation"))))
-    return grid.tile_grid(s, CLIP, splits.stride_of(F.coalesce("split", F.lit("none")), CLIP, STRIDE))
+    s = s.withColumn("stride", splits.stride_of(F.coalesce("split", F.lit("none")), CLIP, STRIDE))
+    n = grid.tile_count(F.col("height").cast("int"), CLIP, F.col("stride")).cast("long") * grid.tile_count(F.col("width").cast("int"), CLIP, F.col("stride"))
+    return s.select("kind", "split", "stride", n.alias("n"))
 
 
 @query("q11_split_stride", f"SELECT kind, split, CAST(CASE WHEN split = 'train' THEN {STRIDE} ELSE {CLIP} END AS INTEGER) AS stride, count(*) AS n FROM {_KIND_TILES} GROUP BY ALL")
 def q11(spark: SparkSession, d: str) -> DataFrame:
-    return _pair_tiles(spark, d).groupBy("kind", "split", splits.stride_of(F.coalesce("split", F.lit("none")), CLIP, STRIDE).alias("stride")).agg(F.count("*").alias("n"))
+    return _pair_tiles(spark, d).groupBy("kind", "split", "stride").agg(F.sum("n").alias("n"))
 
 
 @query("q12_tile_affine", f"SELECT scene_id, {_INT('x0 y0')}, c + a * x0 AS tc, f + e * y0 AS tf, b * y0 AS dc, d * x0 AS df FROM {_tiles_sql('(' + sql('georef') + ')', CLIP, str(STRIDE))}")
@@ -330,7 +334,7 @@ def q27(spark: SparkSession, d: str) -> DataFrame:
 @query("q28_summary_counts", f"SELECT kind, split, CAST(grouping(kind) + grouping(split) AS INTEGER) AS level, count(*) AS n FROM {_KIND_TILES} GROUP BY ROLLUP (kind, split)")
 def q28(spark: SparkSession, d: str) -> DataFrame:
     t = _pair_tiles(spark, d)
-    return t.rollup("kind", "split").agg((F.grouping("kind") + F.grouping("split")).cast("int").alias("level"), F.count("*").alias("n"))
+    return t.rollup("kind", "split").agg((F.grouping("kind") + F.grouping("split")).cast("int").alias("level"), F.sum("n").alias("n"))
 
 
 @query("q29_band_select", "SELECT vec_id, embedding[4]::DOUBLE AS b0, embedding[2]::DOUBLE AS b1, embedding[1]::DOUBLE AS b2 FROM embeddings")

@@ -63,6 +63,47 @@ def window(blocks: DataFrame, row_off: int, col_off: int, height: int, width: in
     return blocks.where(meets).mapInPandas(run, "scene_id long, band int, y int, x int, v int")
 
 
+def unpack(blocks: DataFrame, side: int = SIDE) -> DataFrame:
+    """(scene_id, band, y, x, v) of all pixels of blocks: for small rasters and for checks."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for r in frame.itertuples(index=False):
+                y, x = np.mgrid[r.by * side : r.by * side + r.h, r.bx * side : r.bx * side + r.w]
+                v = np.frombuffer(r.data, dtype=np.uint8)
+                yield pd.DataFrame({"scene_id": r.scene_id, "band": r.band, "y": y.ravel().astype("int32"), "x": x.ravel().astype("int32"), "v": v.astype("int32")})
+
+    return blocks.mapInPandas(run, "scene_id long, band int, y int, x int, v int")
+
+
+def unpack_means(blocks: DataFrame, classes: int, side: int = SIDE) -> DataFrame:
+    """(scene_id, y, x, n, p0, p1, ...) of blended blocks with their counts and means: for checks."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for r in frame.itertuples(index=False):
+                y, x = np.mgrid[r.by * side : r.by * side + r.h, r.bx * side : r.bx * side + r.w]
+                means = np.frombuffer(r.means, dtype="<f8").reshape(classes, -1)
+                yield pd.DataFrame({"scene_id": r.scene_id, "y": y.ravel().astype("int32"), "x": x.ravel().astype("int32"), "n": np.frombuffer(r.n, dtype="<i4"), **{f"p{i}": m for i, m in enumerate(means)}})
+
+    return blocks.mapInPandas(run, "scene_id long, y int, x int, n int, " + ", ".join(f"p{i} double" for i in range(classes)))
+
+
+def tile_sums(tiles: DataFrame) -> DataFrame:
+    """tiles (bands, h, w, data) with s0, the sum of the first band, and s2, that of the last by 64 x row + column."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            out = []
+            for r in frame.itertuples(index=False):
+                t = np.frombuffer(r.data, dtype=np.uint8).reshape(r.bands, r.h, r.w).astype(np.int64)
+                y, x = np.mgrid[: r.h, : r.w]
+                out.append((r.tile, r.w, r.h, int(t[0].sum()), int((t[-1] * (64 * y + x)).sum())))
+            yield pd.DataFrame(out, columns=["tile", "w", "h", "s0", "s2"])
+
+    return tiles.select("tile", "bands", "h", "w", "data").mapInPandas(run, "tile string, w int, h int, s0 long, s2 long")
+
+
 def mosaic(scenes: list[tuple[DataFrame, int, int]]) -> DataFrame:
     """Pixel relations (scene_id, y, x, ...) put together with row and column offsets, as a virtual mosaic does."""
     moved = [df.withColumn("y", F.col("y") + dy).withColumn("x", F.col("x") + dx) for df, dy, dx in scenes]
@@ -70,7 +111,3 @@ def mosaic(scenes: list[tuple[DataFrame, int, int]]) -> DataFrame:
     for df in moved[1:]:
         out = out.unionByName(df)
     return out
-
-
-def block_key(y: Column, x: Column, side: int = SIDE) -> tuple[Column, Column]:
-    return F.floor(y / side).cast("int"), F.floor(x / side).cast("int")

@@ -17,6 +17,8 @@ from terrawarp.functions.pixels import argmax
 
 #: Seconds before pixel row 0; rows at the epoch itself would count as late.
 BASE = 1_000_000
+#: Modification time of the first file, in milliseconds; the others follow a second apart, as streams read by age.
+ORDER = 1_000_000_000_000
 SCHEMA = "scene_id long, read_y int, y int, x int, p0 double, p1 double, p2 double"
 _MARK = -1
 
@@ -26,11 +28,22 @@ def write_grid_rows(pixels: DataFrame, folder: str, scene_ids: str = "scene_id")
 
     All scenes must share one grid of rows (they are cut to it by read_y), as a stream has one watermark."""
     spark = pixels.sparkSession
-    rows = [r[0] for r in pixels.select("read_y").distinct().orderBy("read_y").collect()]  # one number a grid row
-    bottom = pixels.agg(F.max("y")).first()[0]
     cols = [c.split()[0] for c in SCHEMA.split(", ")]
-    for y in rows:
-        pixels.where(F.col("read_y") == y).select(*cols).coalesce(1).write.mode("append").parquet(folder)
+    bottom = pixels.agg(F.max("y")).first()[0]
+    # one job sorts the rows by grid row into files of their own, numbered as they have to arrive
+    rows = pixels.select(*cols).withColumn("grid_row", F.lpad(F.col("read_y").cast("string"), 12, "0"))
+    staged = f"{folder}/.staged"
+    rows.repartition("grid_row").sortWithinPartitions("grid_row").write.partitionBy("grid_row").parquet(staged)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    parts = sorted(s.getPath().toString() for s in fs.listStatus(path(staged)) if s.isDirectory())  # a name a grid row
+    for k, part in enumerate(parts):
+        for f in fs.listStatus(path(part)):
+            to = path(f"{folder}/row-{k:09d}.parquet")
+            if f.getPath().getName().endswith(".parquet"):
+                fs.rename(f.getPath(), to)
+                fs.setTimes(to, ORDER + 1000 * k, -1)
+    fs.delete(path(staged), True)
     for k in (1, 2):
         far = int(bottom) + 1_000_000 * k
         spark.createDataFrame([(_MARK, far, far, 0, 0.0, 0.0, 0.0)], SCHEMA).coalesce(1).write.mode("append").parquet(folder)

@@ -5,6 +5,7 @@ import os
 import duckdb
 import pytest
 
+import terrawarp.plans.block_queries  # noqa: F401  registers its queries
 from terrawarp.plans.catalogue import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
