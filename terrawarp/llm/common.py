@@ -2,35 +2,23 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from terrawarp.sources.shared import folder
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A named table of the input folder, read by Spark so that any store works."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@functools.cache
-def _own_dir() -> str:
-    return tempfile.mkdtemp(prefix="terrawarp-")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or an own one only where it is unset."""
-    return spark.conf.get("spark.checkpoint.dir", None) or _own_dir()
-
-
 class Scratch:
     """Intermediate tables in the shared folder. They cut lineage and survive the loss of any executor."""
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        self.root = f"{shared_dir(spark).rstrip('/')}/terrawarp-{uuid.uuid4().hex}"
+        self.root = folder(spark)
         self.made = 0
 
     def path(self) -> str:
@@ -45,6 +33,10 @@ class Scratch:
     def keep(self, df: DataFrame) -> DataFrame:
         return self.write(df)[0]
 
+    def close(self) -> None:
+        """Removes all tables that it wrote: for callers that have written or collected what they read from them."""
+        self.drop(self.root)
+
     def drop(self, path: str | None) -> None:
         """Removes a table that no later plan reads."""
         if path:

@@ -14,7 +14,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from terrawarp.llm import bpe, cover_topk, graph_ann, id_store, line_dedup, lm, mixing, simhash, toxicity, url_filter
+from terrawarp.llm import bpe, cover_topk, graph_ann, id_store, line_dedup, lm, mixing, queries, simhash, toxicity, url_filter
 from terrawarp.llm import vectors as vectors_
 from terrawarp.llm.common import Scratch, components, prefix_sum, word_count
 
@@ -583,3 +583,82 @@ def test_toxicity(spark):
 def test_searches_pickle_small():
     ids, vecs = np.arange(3), np.eye(3)
     assert len(pickle.loads(graph_ann.pack_shard(ids, vecs, 2))[0]) == 3
+
+
+@pytest.fixture(scope="module")
+def duck():
+    import os
+
+    import duckdb
+
+    con = duckdb.connect()
+    for f in os.listdir(SF):
+        con.execute(f"CREATE VIEW {f.split('.')[0]} AS SELECT * FROM '{SF}/{f}'")
+    return con
+
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_query_matches_sql(spark, duck, name):
+    df, want = queries.QUERIES[name](spark, SF), duck.execute(queries.ORACLE_SQL[name])
+    columns = [c[0] for c in want.description]
+    assert sorted(df.columns) == sorted(columns)
+    fix = lambda v: round(v, 6) if isinstance(v, float) else v
+    rows = lambda names, data: sorted(([fix(r[names.index(c)]) for c in sorted(names)] for r in data), key=repr)
+    assert rows(df.columns, [tuple(r) for r in df.collect()]) == rows(columns, want.fetchall())
+
+
+def test_ftrl_against_a_plain_loop():
+    """Each coordinate by itself, as the method is written down."""
+    rng = np.random.default_rng(6)
+    examples = [rng.integers(0, 40, size=rng.integers(0, 12)).astype(np.uint32) for _ in range(300)]
+    labels = np.array([float(np.any(x < 4)) for x in examples])
+    alpha, beta, l1, l2, passes = 0.5, 1.0, 0.3, 0.1, 2
+    model = toxicity.ftrl(examples, labels, alpha, beta, l1, l2, passes)
+    seen = collections.Counter(int(f) for x in examples for f in set(x.tolist()))
+    z, n = collections.defaultdict(float), collections.defaultdict(float)
+
+    def weight(f):
+        if abs(z[f]) <= l1:
+            return 0.0
+        return -(z[f] - math.copysign(l1, z[f])) / ((beta + math.sqrt(n[f])) / alpha + l2)
+
+    for _ in range(passes):
+        for x, y in zip(examples, labels, strict=True):
+            active = [f for f in sorted(set(x.tolist())) if seen[f] > 1] + ["bias"]
+            w = {f: weight(f) for f in active}
+            g = 1 / (1 + math.exp(-sum(w.values()))) - y
+            for f in active:
+                s = (math.sqrt(n[f] + g * g) - math.sqrt(n[f])) / alpha
+                z[f] += g - s * w[f]
+                n[f] += g * g
+    want = {f: weight(f) for f in z if f != "bias" and weight(f)}
+    got = dict(zip(model.keys.tolist(), model.weights.tolist(), strict=True))
+    assert set(got) == set(want) and all(math.isclose(got[f], want[f], rel_tol=1e-9) for f in want)
+    assert math.isclose(model.bias, weight("bias"), rel_tol=1e-9)
+    text = "some words of a text"
+    known = toxicity.features(text)
+    own = toxicity.Model(np.sort(known)[:3], np.array([0.5, -1.0, 2.0]), 0.25)
+    assert math.isclose(own.score(text), 1 / (1 + math.exp(-1.75)), rel_tol=1e-12)
+
+
+def test_graph_recall_over_several_shards(spark):
+    """The production settings on supplied vectors, in shards of a quarter of them."""
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding").where("embedding IS NOT NULL").collect()
+    rows = [(r.vec_id, r.embedding) for r in rows]
+    own, size = spark.createDataFrame(rows, "vec_id long, embedding array<float>"), graph_ann.SHARD
+    try:
+        graph_ann.SHARD = 512
+        got = collections.defaultdict(list)
+        for r in graph_ann.graph_search(own, own.where("vec_id % 20 = 0"), 20).collect():
+            got[r.query_id].append(r.vec_id)
+    finally:
+        graph_ann.SHARD = size
+    ids, x = np.array([i for i, _ in rows]), np.array([v for _, v in rows], dtype=float)
+    hits = 0
+    for q, found in got.items():
+        s = np.where(ids == q, -np.inf, x @ x[ids == q][0])
+        hits += len(set(ids[np.lexsort((ids, -s))[:20]].tolist()) & set(found))
+    assert hits >= 0.9 * 20 * len(got) and len(got) == len(ids[ids % 20 == 0])
