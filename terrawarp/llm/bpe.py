@@ -189,6 +189,8 @@ class Codec:
         column = pa.array(got, pa.large_binary())
         flat = np.frombuffer(column.buffers()[2] or b"", dtype="<u4")
         ids, to = gathered(flat, np.asarray(pc.binary_length(column)) // 4, picks)
+        del column, flat, split, parts
+        pa.default_memory_pool().release_unused()  # workers are kept, and would keep it
         return ids, to[starts]
 
     def decode(self, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -69,11 +69,21 @@ def ftrl(examples: list[np.ndarray], labels: np.ndarray, alpha: float = ALPHA, b
     """FTRL-proximal over the examples (feature hashes) in the given order, `passes` times."""
     if not len(labels):
         return Model(np.zeros(0, np.uint32), np.zeros(0), -1e-9)
-    sets = [np.unique(x) for x in examples]
-    every, seen = np.unique(np.concatenate(sets), return_counts=True)
-    every = every[seen > 1]  # a feature of one example says nothing of others
-    at = [np.searchsorted(every, s) for s in sets]
-    at = [np.append(i[(i < len(every))][every[i[i < len(every)]] == s[i < len(every)]], len(every)) for i, s in zip(at, sets, strict=True)]
+    sets = [x if (x[1:] > x[:-1]).all() else np.unique(x) for x in examples]
+    flat = np.concatenate(sets)
+    flat.sort()  # in place, as the sample's features are the most that a worker holds
+    first = np.append(True, flat[1:] != flat[:-1])[: len(flat)]
+    again = np.append(~first[1:], False)[: len(flat)]
+    every = flat[first & again]  # a feature of one example says nothing of others
+    del flat, first, again
+
+    def placed(features):
+        i = np.searchsorted(every, features)
+        near = i < len(every)
+        i, features = i[near], features[near]
+        return np.append(i[every[i] == features], len(every)).astype(np.int32)
+
+    at = [placed(x) for x in sets]
     z, n = np.zeros(len(every) + 1), np.zeros(len(every) + 1)
 
     def weights(i):
@@ -108,7 +118,9 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = SAMPLE,
                 yield pa.RecordBatch.from_arrays([batch.column(0)[part], batch.column(2)[part], pa.array(found, pa.binary())], ["id", "y", "f"])
 
     def train(group):
-        got = sorted(zip(group["id"].to_pylist(), group["y"].to_pylist(), group["f"].to_pylist(), strict=True), key=lambda r: (xxhash.xxh64_intdigest(str(r[0]).encode(), 1), r))
+        got = zip(group["id"].to_pylist(), group["y"].to_pylist(), [v.as_buffer() for c in group["f"].chunks for v in c], strict=True)
+        key = lambda r: (xxhash.xxh64_intdigest(str(r[0]).encode(), 1), r[0], r[1], xxhash.xxh64_intdigest(r[2]))
+        got = sorted(got, key=key)
         m = ftrl([np.frombuffer(r[2], dtype=np.uint32) for r in got], np.array([r[1] for r in got], dtype=float))
         return pa.table({"keys": pa.array([m.keys.tobytes()], pa.binary()), "weights": pa.array([m.weights.tobytes()], pa.binary()), "bias": pa.array([m.bias], pa.float64())})
 
