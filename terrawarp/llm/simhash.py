@@ -36,6 +36,8 @@ from .common import Scratch, components, free_name, table
 SEED, BITS, BLOCKS, APART = 42, 64, 4, 2
 #: Buckets above this number of nodes take the linear way.
 LIMIT = 32
+#: Nodes outside a hot bucket's largest component that are still paired with all of the bucket.
+WIDE = 256
 #: Probability with which a pair at the similarity sought shares a block, at least.
 RECALL = 0.997
 #: Fingerprint bits that filter candidates, at every number of texts.
@@ -161,10 +163,10 @@ def wide_bits(h: np.ndarray, bits: int, step: int = 1 << 13) -> np.ndarray:
 
 
 def _wide(docs: DataFrame, words: int, width: int, blocks_: int, tiny: int, doc_id: str, text: str) -> DataFrame:
-    """(doc_id, th, node, n, fp array<long>, keys array<long>, shingles array<long>): th names the text, node its set of
-    shingles. Sets of up to TINY shingles have `tiny` keys, the first `blocks_` of them like those of others."""
+    """(doc_id, th, node, n, fp array<long>, keys array<long>, shingles array<int>): th names the text, node its set of
+    shingles, which are told apart by 32 bits of their hashes. Sets of up to TINY shingles have `tiny` keys, the first `blocks_` of them like those of others."""
     source = docs.select(docs[doc_id].alias("doc_id"), F.xxhash64(docs[text]).alias("th"), docs[text].alias("text"))
-    more = "node long, n long, fp array<long>, keys array<long>, shingles array<long>"
+    more = "node long, n long, fp array<long>, keys array<long>, shingles array<int>"
     schema = T.StructType([*source.schema.fields[:2], *T.StructType.fromDDL(more).fields])
 
     def run(batches):
@@ -181,15 +183,16 @@ def _wide(docs: DataFrame, words: int, width: int, blocks_: int, tiny: int, doc_
                     n.append(len(h))
                     fp.append(np.packbits(bits[:NEAR_BITS], bitorder="little").view("<i8"))
                     keys.append(bits[: width * own].reshape(own, width) @ weights + (np.arange(own, dtype=np.int64) << width))
-                    shingles.append(h.view(np.int64))
-                yield pa.RecordBatch.from_arrays([batch.column(0)[part], batch.column(1)[part], pa.array(node, pa.int64()), pa.array(n, pa.int64()), _lists(fp), _lists(keys), _lists(shingles)], schema.names)
+                    low = np.sort(h.astype(np.uint32))
+                    shingles.append(low[np.append(True, low[1:] != low[:-1])[: len(low)]].view(np.int32))
+                yield pa.RecordBatch.from_arrays([batch.column(0)[part], batch.column(1)[part], pa.array(node, pa.int64()), pa.array(n, pa.int64()), _lists(fp), _lists(keys), _lists(shingles, pa.int32())], schema.names)
 
     return source.mapInArrow(run, schema)
 
 
-def _lists(rows: list[np.ndarray]) -> pa.ListArray:
+def _lists(rows: list[np.ndarray], kind: pa.DataType = pa.int64()) -> pa.ListArray:  # noqa: B008
     at = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(rows), pa.int64()))
+    return pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(rows), kind))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -206,30 +209,36 @@ def near_links(nodes: DataFrame, sets: DataFrame, similarity: float, scratch: Sc
     """Edges (a, b) that connect all nodes (node, n, fp, keys) that share a block and whose sets (node, shingles) have
     that similarity, by a filter of fingerprint bits and sizes and then exactly.
 
-    First every node is verified against one pivot of each of its buckets: a pair a node and block. Then only nodes of
-    different components, as those links give them, are paired: no link between components is lost, and the nodes of
-    a group, the bulk of a hot bucket, are never paired with each other. A bucket of more than LIMIT nodes is dealt
-    anew, by each second block that its nodes may share, before its nodes are paired."""
+    In a bucket of more than LIMIT nodes every node is first verified against one pivot; then, with the components that
+    those links give, the nodes outside the bucket's largest component are verified against all of its nodes of other
+    components. So nodes of one group, the bulk of a hot bucket, are never paired with each other. Where more than
+    WIDE nodes are outside, the bucket is first dealt anew by each second block that its nodes may share. All other
+    buckets are paired, across components."""
     fp = nodes.select("node", "n", "fp")
-    keys = nodes.select(F.explode("keys").alias("k"), "node", "n", F.get("fp", 0).alias("s"))
-    # the pivot is the least node, so that a group's buckets have few pivots
-    pivot = keys.groupBy("k").agg(F.min("node").alias("b"), F.min_by("n", "node").alias("nb"), F.min_by("s", "node").alias("sb"), F.count("*").alias("c"))
-    pivot = pivot.where("c > 1").select(F.col("k").bitwiseXOR(F.lit(0)).alias("k"), "b", "nb", "sb")  # as in `components`
-    own = keys.select("k", F.col("node").alias("a"), F.col("n").alias("na"), F.col("s").alias("sa"))
-    near = own.join(pivot, "k").where((F.col("a") > F.col("b")) & _may("a", "b", similarity)).select("a", "b")
+    exploded = lambda of, *more: of.select(F.explode("keys").alias("k"), "node", "n", F.get("fp", 0).alias("s"), *more)
+    load = scratch.keep(exploded(nodes).groupBy("k").agg(F.count("*").alias("c"), F.min("node").alias("b")).where(F.col("c") > LIMIT).select("k", "b"))
+    if not load.take(1):
+        pairs = _across(exploded(nodes, F.col("node").alias("label")), None, ["k"], similarity)
+        return verified(_close(pairs.distinct(), fp, similarity, scratch), sets, similarity)
+    hot = scratch.keep(exploded(nodes).join(load, "k"))
+    pivot = hot.where("node = b").select("k", F.col("n").alias("nb"), F.col("s").alias("sb"))
+    own = hot.select("k", "b", F.col("node").alias("a"), F.col("n").alias("na"), F.col("s").alias("sa"))
+    near = own.join(pivot, "k").where((F.col("a") != F.col("b")) & _may("a", "b", similarity)).select("a", "b")
     edges = scratch.keep(verified(_close(near.distinct(), fp, similarity, scratch), sets, similarity))
     group = components(edges, scratch)
-    named = scratch.keep(nodes.join(group, "node", "left").withColumn("label", F.coalesce("label", "node")))
-    rows = named.select(F.explode("keys").alias("k"), "node", "label", "n", F.get("fp", 0).alias("s"))
-    load = rows.groupBy("k").agg(F.count("*").alias("c"), (F.min("label") != F.max("label")).alias("open"))
-    load = scratch.keep(load.where("open").select("k", "c"))
-    pairs = _across(rows, load.where(F.col("c") <= LIMIT), ["k"], similarity)
-    hot = load.where(F.col("c") > LIMIT)
-    if hot.take(1):
-        second = named.select("node", F.explode("keys").alias("k2"))
-        wider = scratch.keep(rows.join(hot.select("k"), "k").join(second, "node").where("k <> k2"))
-        twice = wider.groupBy("k", "k2").agg((F.min("label") != F.max("label")).alias("open")).where("open")
-        pairs = pairs.unionByName(_across(wider, scratch.keep(twice), ["k", "k2"], similarity))
+    named = lambda of: of.join(group, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    hot = scratch.keep(named(hot.drop("b")))
+    sizes = hot.groupBy("k", "label").agg(F.count("*").alias("m"))
+    bulk = scratch.keep(sizes.groupBy("k").agg(F.max_by("label", "m").alias("bulk"), (F.sum("m") - F.max("m")).alias("rest")).where("rest > 0"))
+    pairs = _across(hot, bulk.where(F.col("rest") <= WIDE), ["k"], similarity)
+    if bulk.where(F.col("rest") > WIDE).take(1):
+        second = nodes.select("node", F.explode("keys").alias("k2"))
+        wider = scratch.keep(hot.join(bulk.where(F.col("rest") > WIDE), "k").join(second, "node").where("k <> k2"))
+        sizes = wider.groupBy("k", "k2", "label").agg(F.count("*").alias("m"))
+        again = sizes.groupBy("k", "k2").agg(F.max_by("label", "m").alias("bulk"), (F.sum("m") - F.max("m")).alias("rest")).where("rest > 0")
+        pairs = pairs.unionByName(_across(wider.drop("bulk", "rest"), scratch.keep(again), ["k", "k2"], similarity))
+    few = exploded(named(nodes), "label").join(load.select("k"), "k", "left_anti")
+    pairs = pairs.unionByName(_across(few, None, ["k"], similarity))
     return edges.unionByName(verified(_close(pairs.distinct(), fp, similarity, scratch), sets, similarity))
 
 
@@ -245,10 +254,15 @@ def _may(a: str, b: str, similarity: float) -> Column:
     return (F.least(x, y) >= F.greatest(x, y) * similarity - 1e-6) & (F.bit_count(F.col(f"s{a}").bitwiseXOR(F.col(f"s{b}"))) <= _most(64, F.least(x, y), similarity))
 
 
-def _across(rows: DataFrame, buckets: DataFrame, keys: list[str], similarity: float) -> DataFrame:
-    """Pairs (a, b) of nodes of one of these buckets that belong to different components and may be similar."""
+def _across(rows: DataFrame, buckets: DataFrame | None, keys: list[str], similarity: float) -> DataFrame:
+    """Pairs (a, b) of nodes of a bucket that belong to different components and may be similar: of all buckets, or of
+    those given with the label of their bulk, outside which one of the two lies."""
     x, y = (rows.select(*keys, F.col("node").alias(i), F.col("label").alias(f"l{i}"), F.col("n").alias(f"n{i}"), F.col("s").alias(f"s{i}")) for i in "ab")
-    met = x.join(buckets.select(*keys), keys).join(y, keys).where((F.col("la") < F.col("lb")) & _may("a", "b", similarity))
+    once = F.col("la") < F.col("lb")
+    if buckets is not None:
+        x = x.join(buckets.select(*keys, "bulk"), keys).where("la <> bulk")
+        once = (F.col("la") != F.col("lb")) & ((F.col("lb") == F.col("bulk")) | (F.col("la") < F.col("lb")))
+    met = x.join(y, keys).where(once & _may("a", "b", similarity))
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 

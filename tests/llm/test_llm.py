@@ -167,9 +167,10 @@ def vocabulary(n, seed):
     return ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n)]
 
 
-@pytest.mark.parametrize("limit", [32, 2])
-def test_near_duplicates(spark, monkeypatch, limit):
+@pytest.mark.parametrize(("limit", "wide"), [(32, 256), (2, 256), (2, 1)])
+def test_near_duplicates(spark, monkeypatch, limit, wide):
     monkeypatch.setattr(simhash, "LIMIT", limit)
+    monkeypatch.setattr(simhash, "WIDE", wide)
     rng, vocab, rows = random.Random(2), vocabulary(2000, 1), []
     for k in range(40):
         base = [rng.choice(vocab) for _ in range(200)]
