@@ -76,7 +76,7 @@ def prefix_sum(df: DataFrame, order: list[Column], value: Column, name: str, scr
 
 
 def components(edges: DataFrame, scratch: Scratch, most: int = 60) -> DataFrame:
-    """Connected components of edges (a long, b long): rows (node, label), label the smallest node reachable.
+    """Connected components of edges (a, b; both long or both string): rows (node, label), label the smallest node reachable.
 
     Alternating large-star and small-star rounds; each is two shuffles of the edge table, which never grows,
     and is written to the shared folder. Converges in O(log^2 n) rounds; raises if `most` rounds do not do.
@@ -91,7 +91,8 @@ def components(edges: DataFrame, scratch: Scratch, most: int = 60) -> DataFrame:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # keys of aggregates are made anew, so that a join shuffles both its sides and adaptive execution can split the
         # rows of a hub
-        again = lambda name: F.col(name).bitwiseXOR(F.lit(0)).alias(name)
+        text = dict(now.dtypes)["u"] == "string"
+        again = lambda name: (F.concat(name, F.lit("")) if text else F.col(name).bitwiseXOR(F.lit(0))).alias(name)
         low = both.groupBy("u").agg(F.min("v").alias("m")).select(again("u"), F.least("u", "m").alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low2 = large.groupBy("u").agg(F.min("v").alias("m"))
