@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 import random
+from array import array
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from terrawarp.sources.shared import folder
+
 DIRECTIONS = ("ns", "sn", "we", "ew")
 
 
@@ -60,15 +65,30 @@ def random_split(keys: DataFrame, key: str, ratio: float, seed: int) -> DataFram
 
 def random_split_seeded(keys: DataFrame, key: str, ratio: float, seed: int) -> DataFrame:
     """The same by a seeded Mersenne shuffle of the distinct keys in order, as a script with Python's random does; rows of
-    one key go together. The list goes through the driver, so it is for file lists: more than 1,000,000 are refused."""
-    names = [r[0] for r in keys.select(key).distinct().orderBy(key).limit(1_000_001).collect()]
-    if len(names) > 1_000_000:
-        raise ValueError("too many keys for the driver; use random_split")
-    order = list(range(len(names)))
+    one key go together. Keys are numbered where they lie. The shuffle has an order of its own that can't be split, so the
+    driver shuffles the numbers, 4 bytes a key (8 above 2^31), and hands back a bit a key."""
+    spark, to, share = keys.sparkSession, folder(keys.sparkSession), _ratio(ratio)
+    # written, so that all that follows sees the same ranges
+    ranged = keys.select(F.col(key).alias("_key")).distinct().repartitionByRange("_key").withColumn("_p", F.spark_partition_id())
+    ranged.write.parquet(to)
+    part = spark.read.schema(ranged.schema).parquet(to)
+    sizes = sorted((r["_p"], r["n"]) for r in part.groupBy("_p").agg(F.count("*").alias("n")).collect())
+    n, offsets = 0, []
+    for p, size in sizes:
+        offsets.append((p, n))
+        n += size
+    order = array("i" if n < 1 << 31 else "q", range(n))
     random.Random(seed).shuffle(order)
-    cut = int(len(names) * _ratio(ratio))
-    plan = keys.sparkSession.createDataFrame([(names[i], "train" if k < cut else "val") for k, i in enumerate(order)], f"_key {keys.schema[key].dataType.simpleString()}, split string")
-    return keys.join(plan, keys[key].eqNullSafe(plan["_key"])).drop("_key")
+    train = np.zeros(-(-n // 64) * 64, dtype=bool)
+    train[np.frombuffer(order, dtype=order.typecode)[: int(n * share)]] = True
+    words = pa.array(np.packbits(train, bitorder="little").view("<i8"))
+    bits = spark.createDataFrame(pa.table({"_w": pa.array(np.arange(len(words))), "_bits": words}))
+    rank = F.row_number().over(Window.partitionBy("_p").orderBy("_key")) - 1
+    numbers = part.join(F.broadcast(spark.createDataFrame(offsets, "_p int, _off long")), "_p").select("_key", (F.col("_off") + rank).alias("_i"))
+    bit = F.expr("(shiftright(_bits, cast(_i & 63 as int)) & 1) = 1")
+    plan = numbers.withColumn("_w", F.shiftright("_i", 6)).join(bits.hint("shuffle_hash"), "_w").select("_key", F.when(bit, "train").otherwise("val").alias("split"))
+    # estimates take lists of keys for smaller than they are: none is broadcast
+    return keys.join(plan.hint("merge"), keys[key].eqNullSafe(plan["_key"])).drop("_key")
 
 
 def numbered(rows: DataFrame, *order: str) -> DataFrame:

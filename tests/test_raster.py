@@ -81,6 +81,25 @@ def test_random_split_truncates(spark, n, ratio, want):
         assert {k for k, s in rows.items() if s == "train"} == set(order[: int(n * ratio)])
 
 
+def test_seeded_split_of_many_keys(spark):
+    n = 1_000_100
+    keys = spark.range(n, numPartitions=8).select((F.lit(n - 1) - F.col("id")).alias("k"))
+    got = splits.random_split_seeded(keys, "k", 0.3, 42)
+    order = list(range(n))
+    random.Random(42).shuffle(order)
+    train = {r.k for r in got.where("split = 'train'").select("k").collect()}
+    assert train == set(order[: int(n * 0.3)]) and got.count() == n
+
+
+def test_seeded_split_orders_nulls_first_and_takes_no_rows(spark):
+    keys = spark.createDataFrame([("b",), (None,), ("a",), (None,)], "k string")
+    order = [0, 1, 2]
+    random.Random(5).shuffle(order)
+    train = {(None, "a", "b")[i] for i in order[:1]}
+    assert {r.k for r in splits.random_split_seeded(keys, "k", 0.5, 5).where("split = 'train'").collect()} == train
+    assert splits.random_split_seeded(keys.where("false"), "k", 0.5, 5).count() == 0
+
+
 def test_names(spark):
     cases = {"6398_149_train_image.tif": ("6398_149", "train"), "6398_149_image.tif": ("6398_149", None), "a_b_c_d_image.tif": ("a_b", None), "a_image.tif": None, "_b_image.tif": ("_b", None), "a__image.tif": ("a_", None), "a_b_Image.tif": None, "": None, None: None}
     rows = spark.createDataFrame([(k,) for k in cases], "name string").select("name", names.parse_name(F.col("name")).alias("p")).collect()
