@@ -30,6 +30,12 @@ def crop(pixels: DataFrame, key: str, value: str) -> DataFrame:
     return pixels.where(kept).groupBy(key, "y", "x").agg(F.max_by(value, F.struct("read_y", "read_x")).alias(value))
 
 
+def _on_grid(grid: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    """The grid with what was found on its pixels. Rasters explode into pixels, which estimates of size leave out, so
+    neither side may be taken for a small table and broadcast."""
+    return grid.join(found.hint("merge"), [key, "y", "x"], "left")
+
+
 def fill_nodata(grid: DataFrame, found: DataFrame, key: str, value: str, nodata: int = NODATA) -> DataFrame:
     """Every pixel of the grid, with nodata where no window wrote."""
     return grid.join(found, [key, "y", "x"], "left").select(key, "y", "x", F.coalesce(value, F.lit(nodata)).cast("int").alias(value))
@@ -43,7 +49,7 @@ def flip(pixels: DataFrame, width: Column, height: Column, horizontal: Column, v
 
 def pad(grid: DataFrame, pixels: DataFrame, key: str, image: str, label: str) -> DataFrame:
     """Tiles filled up to the grid: image 0, label ignored."""
-    return grid.join(pixels, [key, "y", "x"], "left").select(key, "y", "x", F.coalesce(image, F.lit(0)).alias(image), F.coalesce(label, F.lit(IGNORE)).alias(label))
+    return _on_grid(grid, pixels, key).select(key, "y", "x", F.coalesce(image, F.lit(0)).alias(image), F.coalesce(label, F.lit(IGNORE)).alias(label))
 
 
 def dominant_share(pixels: DataFrame, keys: list[str], cls: str, most: float) -> DataFrame:

@@ -170,6 +170,21 @@ def test_crop_equals_blend_without_overlap(spark):
     assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty() and a.count() == 21 * 17
 
 
+def small_rasters(spark):
+    """Rasters whose estimated size is small, and their pixels at even x."""
+    s = spark.range(40).select(F.col("id").alias("scene_id"))
+    return overlay.pixel_grid(s, "scene_id", 6, 5), overlay.pixel_grid(s, "scene_id", 6, 4).where("x % 2 = 0").withColumn("v", F.col("x") + 1)
+
+
+def test_pad_broadcasts_no_pixels(spark):
+    every, some = small_rasters(spark)
+    got = stitch.pad(every, some.withColumn("gt", F.col("v")), "scene_id", "v", "gt")
+    assert "BroadcastExchange" not in got._jdf.queryExecution().executedPlan().toString()
+    want = lambda r: (r.x + 1, r.x + 1) if r.x % 2 == 0 and r.y < 4 else (0, 255)
+    rows = got.collect()
+    assert len(rows) == 1200 and all((r.v, r.gt) == want(r) for r in rows)
+
+
 def test_bilinear_keeps_constants_and_sums_weights(spark):
     p = overlay.pixel_grid(spark.createDataFrame([(1,)], "k int"), "k", 5, 4).withColumn("v", F.lit(2.5))
     got = stitch.bilinear(p, "k", "v", (4, 5), (9, 3)).collect()
