@@ -38,7 +38,7 @@ def _on_grid(grid: DataFrame, found: DataFrame, key: str) -> DataFrame:
 
 def fill_nodata(grid: DataFrame, found: DataFrame, key: str, value: str, nodata: int = NODATA) -> DataFrame:
     """Every pixel of the grid, with nodata where no window wrote."""
-    return grid.join(found, [key, "y", "x"], "left").select(key, "y", "x", F.coalesce(value, F.lit(nodata)).cast("int").alias(value))
+    return _on_grid(grid, found, key).select(key, "y", "x", F.coalesce(value, F.lit(nodata)).cast("int").alias(value))
 
 
 def flip(pixels: DataFrame, width: Column, height: Column, horizontal: Column, vertical: Column | None = None) -> DataFrame:

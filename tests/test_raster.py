@@ -185,6 +185,14 @@ def test_pad_broadcasts_no_pixels(spark):
     assert len(rows) == 1200 and all((r.v, r.gt) == want(r) for r in rows)
 
 
+def test_fill_nodata_broadcasts_no_pixels(spark):
+    every, some = small_rasters(spark)
+    got = stitch.fill_nodata(every, some, "scene_id", "v")
+    assert "BroadcastExchange" not in got._jdf.queryExecution().executedPlan().toString()
+    rows = got.collect()
+    assert len(rows) == 1200 and all(r.v == (r.x + 1 if r.x % 2 == 0 and r.y < 4 else 255) for r in rows)
+
+
 def test_bilinear_keeps_constants_and_sums_weights(spark):
     p = overlay.pixel_grid(spark.createDataFrame([(1,)], "k int"), "k", 5, 4).withColumn("v", F.lit(2.5))
     got = stitch.bilinear(p, "k", "v", (4, 5), (9, 3)).collect()
