@@ -36,8 +36,10 @@ from .common import Scratch, components, free_name, table
 SEED, BITS, BLOCKS, APART = 42, 64, 4, 2
 #: Buckets above this number of nodes take the linear way.
 LIMIT = 32
-#: Nodes outside a hot bucket's largest component that are still paired with all of the bucket.
+#: Nodes outside a hot bucket's largest group that are still paired with all of the bucket.
 WIDE = 256
+#: Similarity by which fingerprints put the nodes of hot buckets into groups. It decides on the way, not on links.
+RELATED = 0.5
 #: Probability with which a pair at the similarity sought shares a block, at least.
 RECALL = 0.997
 #: Fingerprint bits that filter candidates, at every number of texts.
@@ -207,13 +209,14 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
 
 def near_links(nodes: DataFrame, sets: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
     """Edges (a, b) that connect all nodes (node, n, fp, keys) that share a block and whose sets (node, shingles) have
-    that similarity, by a filter of fingerprint bits and sizes and then exactly.
-
-    In a bucket of more than LIMIT nodes every node is first verified against one pivot; then, with the components that
-    those links give, the nodes outside the bucket's largest component are verified against all of its nodes of other
-    components. So nodes of one group, the bulk of a hot bucket, are never paired with each other. Where more than
-    WIDE nodes are outside, the bucket is first dealt anew by each second block that its nodes may share. All other
-    buckets are paired, across components."""
+    that similarity.
+
+    In a bucket of more than LIMIT nodes every node meets one pivot; those that are alike (RELATED, by fingerprints) are
+    of one group, over all buckets, and links within groups are found by `group_links`, whether a block is shared or not.
+    So variants of one text are never paired for being in a bucket. Of such a bucket, the nodes outside its largest
+    group are paired with all of its nodes of other groups. Where more than WIDE are outside, all nodes of the bucket are
+    made one group. All other buckets are paired, across groups. Paired nodes pass a filter of fingerprint bits and sizes,
+    and all are verified exactly."""
     fp = nodes.select("node", "n", "fp")
     exploded = lambda of, *more: of.select(F.explode("keys").alias("k"), "node", "n", F.get("fp", 0).alias("s"), *more)
     load = scratch.keep(exploded(nodes).groupBy("k").agg(F.count("*").alias("c"), F.min("node").alias("b")).where(F.col("c") > LIMIT).select("k", "b"))
@@ -224,24 +227,73 @@ def near_links(nodes: DataFrame, sets: DataFrame, similarity: float, scratch: Sc
     pivot = hot.where("node = b").select("k", F.col("n").alias("nb"), F.col("s").alias("sb"))
     own = hot.select("k", "b", F.col("node").alias("a"), F.col("n").alias("na"), F.col("s").alias("sa"))
     near = own.join(pivot, "k").where((F.col("a") != F.col("b")) & _may("a", "b", similarity)).select("a", "b")
-    edges = scratch.keep(verified(_close(near.distinct(), fp, similarity, scratch), sets, similarity))
-    group = components(edges, scratch)
-    named = lambda of: of.join(group, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    hot = scratch.keep(named(hot.drop("b")))
-    sizes = hot.groupBy("k", "label").agg(F.count("*").alias("m"))
-    bulk = scratch.keep(sizes.groupBy("k").agg(F.max_by("label", "m").alias("bulk"), (F.sum("m") - F.max("m")).alias("rest")).where("rest > 0"))
-    pairs = _across(hot, bulk.where(F.col("rest") <= WIDE), ["k"], similarity)
-    if bulk.where(F.col("rest") > WIDE).take(1):
-        second = nodes.select("node", F.explode("keys").alias("k2"))
-        wider = scratch.keep(hot.join(bulk.where(F.col("rest") > WIDE), "k").join(second, "node").where("k <> k2"))
-        sizes = wider.groupBy("k", "k2", "label").agg(F.count("*").alias("m"))
-        again = sizes.groupBy("k", "k2").agg(F.max_by("label", "m").alias("bulk"), (F.sum("m") - F.max("m")).alias("rest")).where("rest > 0")
-        pairs = pairs.unionByName(_across(wider.drop("bulk", "rest"), scratch.keep(again), ["k", "k2"], similarity))
+    alike = _close(near.distinct(), fp, RELATED, scratch)
+
+    def labelled(edges):
+        group = components(edges, scratch)
+        named = lambda of: of.join(group, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        rows = scratch.keep(named(hot.drop("b")))
+        sizes = rows.groupBy("k", "label").agg(F.count("*").alias("m"))
+        return group, named, rows, scratch.keep(sizes.groupBy("k").agg(F.max_by("label", "m").alias("bulk"), (F.sum("m") - F.max("m")).alias("rest")).where("rest > 0"))
+
+    group, named, rows, bulk = labelled(alike)
+    wide = bulk.where(F.col("rest") > WIDE).select("k")
+    if wide.take(1):
+        group, named, rows, bulk = labelled(alike.unionByName(hot.join(wide, "k").select(F.col("node").alias("a"), "b")))
+    pairs = _across(rows, bulk, ["k"], similarity)
     few = exploded(named(nodes), "label").join(load.select("k"), "k", "left_anti")
     pairs = pairs.unionByName(_across(few, None, ["k"], similarity))
+    centre = rows.groupBy("node").agg(F.count("*").alias("c"))
+    edges = group_links(group.join(centre, "node", "left"), sets, similarity, scratch)
     return edges.unionByName(verified(_close(pairs.distinct(), fp, similarity, scratch), sets, similarity))
 
 
+def group_links(group: DataFrame, sets: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
+    """Edges (a, b) that connect all nodes of a group (node, label, c) whose sets (node, shingles) have that similarity.
+    Exact.
+
+    Of each group the node of the highest c is its pivot p. A node x is held as its difference X from p, the shingles that
+    one of the two has, and the pivot's own links follow from it. Sets of that similarity differ in share (|x| + |y|)
+    shingles at most, with share = (1 - s) / (1 + s). X and Y differ in the same ones, so they have
+    t = (|X| - share |x| + |Y| - share |y|) / 2 in common at least, which is above 0 unless both are linked to p. In one
+    order of the shingles, the rarest of the group first, the first |X| - t + 1 of X and |Y| - t + 1 of Y then have one in
+    common. What a variant has for itself comes first, so variants of one text that are not near copies seldom meet, and
+    what all have is met by none. Where more than LIMIT nodes meet in a shingle, all are first verified against one of
+    them, and only nodes of different components are paired."""
+    share, low = (1 - similarity) / (1 + similarity), 1e-6
+    own = sets.join(group, "node").groupBy("node").agg(F.first("label").alias("g"), F.first("c").alias("c"), F.first("shingles").alias("h"))
+    own = scratch.keep(own)
+    pivot = own.groupBy("g").agg(F.max_by(F.struct("node", "h"), F.struct(F.coalesce("c", F.lit(0)), F.col("node"))).alias("p"))
+    met = own.join(pivot.select("g", F.col("p.node").alias("b"), F.col("p.h").alias("hb")), "g").where("node <> b")
+    apart = F.concat(F.array_except("h", "hb"), F.array_except("hb", "h"))
+    met = met.select("g", "b", "node", F.size("h").alias("n"), F.size("hb").alias("nb"), apart.alias("r")).withColumn("d", F.size("r"))
+    u, linked = F.col("d") - F.lit(share) * F.col("n"), F.col("d") <= F.lit(share) * (F.col("n") + F.col("nb")) + low
+    met = scratch.keep(met.withColumn("u", u).withColumn("linked", linked))
+    star = met.where("linked").select(F.col("node").alias("a"), "b")
+    # only groups with nodes that are not linked to the pivot have more to find
+    least = met.groupBy("g").agg(F.min("u").alias("least"), F.bool_and("linked").alias("done")).where("NOT done").select("g", "least")
+    needed = lambda x, y: F.greatest(F.ceil((x + y) / 2 - low), F.lit(1)).cast("int")
+    other = F.when(F.col("linked"), F.lit(share) * F.col("nb")).otherwise(F.col("least"))
+    left = met.join(least, "g").withColumn("first", F.col("d") - needed(F.col("u"), other) + 1).where("first > 0")
+    every = met.join(least, "g").select("g", "node", F.explode("r").alias("t"))
+    # shingles of one node alone come first in its order, and nobody is met there
+    often = every.groupBy("g", "t").agg(F.count("*").alias("f")).where("f > 1")
+    ranked = every.join(often, ["g", "t"]).groupBy("node").agg(F.sort_array(F.collect_list(F.struct("f", "t"))).alias("ts"))
+    alone = F.col("d") - F.size("ts")
+    posting = left.join(ranked, "node").select("g", "node", "n", "d", "u", alone.alias("alone"), F.posexplode(F.slice("ts", F.lit(1), F.greatest(F.col("first") - alone, F.lit(0)))).alias("i", "ft"))
+    posting = scratch.keep(posting.select("g", F.col("ft.t").alias("t"), "node", "n", "d", "u", (F.col("i") + F.col("alone")).alias("i")))
+    crowd = posting.groupBy("g", "t").agg(F.count("*").alias("c"), F.min("node").alias("b")).where(F.col("c") > LIMIT).select("g", "t", "b")
+    first = posting.join(crowd, ["g", "t"]).where("node <> b").select(F.col("node").alias("a"), "b").distinct()
+    edges = scratch.keep(star.unionByName(verified(scratch.keep(first), sets, similarity)))
+    label = components(edges, scratch)
+    named = scratch.keep(posting.join(label, "node", "left").withColumn("label", F.coalesce("label", "node")))
+    x, y = (named.select("g", "t", F.col("node").alias(i), *[F.col(c).alias(c + i) for c in ("n", "d", "u", "i", "label")]) for i in "ab")
+    common = needed(F.col("ua"), F.col("ub"))
+    once = (F.col("labela") != F.col("labelb")) & (F.col("a") < F.col("b")) & (F.least("na", "nb") >= F.greatest("na", "nb") * similarity - low)
+    pairs = x.join(y, ["g", "t"]).where(once & (F.col("ia") <= F.col("da") - common) & (F.col("ib") <= F.col("db") - common)).select("a", "b")
+    return edges.unionByName(verified(scratch.keep(pairs.distinct()), sets, similarity))
+
+
 def _most(bits: int, n: Column, similarity: float) -> Column:
     """Bits in which similar sets may differ, the smaller of n shingles: 4 deviations above the mean."""
     tiny, other = (math.floor(bits * p + 4 * math.sqrt(bits * p * (1 - p))) for p in (differing(similarity) * u for u in (UNEVEN_TINY, UNEVEN)))

@@ -216,6 +216,73 @@ def test_near_duplicates_verdict(spark, monkeypatch, width):
     assert similar == 240 and found >= 0.98 * similar
 
 
+def variants(n, seed, words=120, least=0, most=9):
+    """Texts made of one by changing some words, few of them near copies of each other."""
+    rng, vocab, rows = random.Random(seed), vocabulary(4000, seed), []
+    base = [rng.choice(vocab) for _ in range(words)]
+    for _ in range(n):
+        text = list(base)
+        for at in rng.sample(range(words), rng.randint(least, most)):
+            text[at] = rng.choice(vocab)
+        rows.append((len(rows), " ".join(text)))
+    return rows
+
+
+def brute_classes(rows):
+    """The classes of the links of all pairs."""
+    of, got = list(range(len(rows))), [brute_shingles(t) for _, t in rows]
+    find = lambda i: i if of[i] == i else find(of[i])
+    for i, x in enumerate(got):
+        for j in range(i):
+            if 5 * len(x & got[j]) >= 4 * len(x | got[j]):
+                of[find(i)] = find(j)
+    return sorted(sorted(rows[i][0] for i in range(len(rows)) if find(i) == k) for k in {find(i) for i in range(len(rows))})
+
+
+def classes(df):
+    found = {}
+    for r in df.collect():
+        found.setdefault(r.label, []).append(r.doc_id)
+    return sorted(map(sorted, found.values()))
+
+
+def test_group_links_are_exact(spark, monkeypatch):
+    """Groups of variants, of several texts at once and of unrelated ones, with nodes that meet in crowds, against all pairs."""
+    monkeypatch.setattr(simhash, "LIMIT", 4)
+    rows = variants(150, 1) + variants(100, 2, 60, 3, 9) + [r for k in range(40) for r in variants(2, 10 + k, 40, 0, 2)]
+    rows = [(i, t) for i, (_, t) in enumerate(rows)]
+    made = simhash._wide(spark.createDataFrame(rows, "doc_id long, text string"), 5, 8, 80, 80, "doc_id", "text").cache()
+    nodes = made.groupBy("node").agg(F.first("doc_id").alias("c"))
+    for group in (nodes.withColumn("label", F.lit(1).cast("long")), nodes.withColumn("label", (F.col("c") >= 150).cast("long"))):
+        scratch = Scratch(spark)
+        label = components(simhash.group_links(group, made.select("node", "shingles"), 0.8, scratch), scratch)
+        got = classes(made.select("doc_id", "node").join(label, "node", "left").withColumn("label", F.coalesce("label", "node")))
+        assert got == brute_classes(rows)
+
+
+def test_near_links_of_one_shared_block(spark, monkeypatch):
+    """Near copies that share one block alone, a hot one of many unrelated texts, are linked."""
+    monkeypatch.setattr(simhash, "LIMIT", 8)
+    monkeypatch.setattr(simhash, "WIDE", 8)
+    rows = [r for k in range(60) for r in variants(2, 50 + k, 80, 0, 1)]
+    rows = [(i, t) for i, (_, t) in enumerate(rows)]
+    made = simhash._wide(spark.createDataFrame(rows, "doc_id long, text string"), 5, 8, 80, 80, "doc_id", "text").cache()
+    nodes = made.select("node", "n", "fp", F.array(F.lit(0).cast("long")).alias("keys")).dropDuplicates(["node"])
+    scratch = Scratch(spark)
+    label = components(simhash.near_links(nodes, made.select("node", "shingles"), 0.8, scratch), scratch)
+    got = classes(made.select("doc_id", "node").join(label, "node", "left").withColumn("label", F.coalesce("label", "node")))
+    assert got == brute_classes(rows) and len(got) < 90
+
+
+def test_near_duplicates_pair_few_variants(spark, monkeypatch):
+    """Variants of one text that are no near copies are not paired with each other: pairs grow with the texts."""
+    monkeypatch.setattr(simhash, "LIMIT", 8)
+    rows, asked, plain = variants(600, 3, 120, 3, 9), [], simhash.verified
+    monkeypatch.setattr(simhash, "verified", lambda pairs, *more: asked.append(pairs.count()) or plain(pairs, *more))
+    got = classes(simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert got == brute_classes(rows) and sum(asked) < 5 * len(rows)
+
+
 def test_near_duplicates_edges(spark):
     got = simhash.drop_near_duplicates(nasty(spark, 2))
     assert got.columns == [c.split()[0] for c in DOCS.split(", ")]
