@@ -39,7 +39,7 @@ LIMIT = 32
 #: Nodes outside a hot bucket's largest group that are still paired with all of the bucket.
 WIDE = 256
 #: Similarity by which fingerprints put the nodes of hot buckets into groups. It decides on the way, not on links.
-RELATED = 0.5
+RELATED = 0.65
 #: Probability with which a pair at the similarity sought shares a block, at least.
 RECALL = 0.997
 #: Fingerprint bits that filter candidates, at every number of texts.
@@ -212,7 +212,8 @@ def near_links(nodes: DataFrame, sets: DataFrame, similarity: float, scratch: Sc
     that similarity.
 
     In a bucket of more than LIMIT nodes every node meets one pivot; those that are alike (RELATED, by fingerprints) are
-    of one group, over all buckets, and links within groups are found by `group_links`, whether a block is shared or not.
+    of one group, over all buckets. Links within groups of more than LIMIT nodes are found by `group_links`, whether a
+    block is shared or not.
     So variants of one text are never paired for being in a bucket. Of such a bucket, the nodes outside its largest
     group are paired with all of its nodes of other groups. Where more than WIDE are outside, all nodes of the bucket are
     made one group. All other buckets are paired, across groups. Paired nodes pass a filter of fingerprint bits and sizes,
@@ -230,7 +231,14 @@ def near_links(nodes: DataFrame, sets: DataFrame, similarity: float, scratch: Sc
     alike = _close(near.distinct(), fp, RELATED, scratch)
 
     def labelled(edges):
-        group = components(edges, scratch)
+        # pivots that share a node are joined, and each node takes the label of its least pivot: few edges for components
+        least = scratch.keep(edges.groupBy("a").agg(F.min("b").alias("m")))
+        pivots = scratch.keep(edges.select(F.col("b").alias("a")).distinct())
+        joined = edges.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(pivots.join(least, "a").select("a", F.col("m").alias("b")))
+        label = components(joined.distinct(), scratch).withColumnRenamed("node", "m")
+        every = least.unionByName(pivots.withColumn("m", F.col("a"))).join(label, "m", "left")
+        every = scratch.keep(every.select(F.col("a").alias("node"), F.coalesce("label", "m").alias("label")).distinct())
+        group = every.join(every.groupBy("label").agg(F.count("*").alias("m")).where(F.col("m") > LIMIT).select("label"), "label").select("node", "label")
         named = lambda of: of.join(group, "node", "left").withColumn("label", F.coalesce("label", "node"))
         rows = scratch.keep(named(hot.drop("b")))
         sizes = rows.groupBy("k", "label").agg(F.count("*").alias("m"))
@@ -280,10 +288,12 @@ def group_links(group: DataFrame, sets: DataFrame, similarity: float, scratch: S
     often = every.groupBy("g", "t").agg(F.count("*").alias("f")).where("f > 1")
     ranked = every.join(often, ["g", "t"]).groupBy("node").agg(F.sort_array(F.collect_list(F.struct("f", "t"))).alias("ts"))
     alone = F.col("d") - F.size("ts")
-    posting = left.join(ranked, "node").select("g", "node", "n", "d", "u", alone.alias("alone"), F.posexplode(F.slice("ts", F.lit(1), F.greatest(F.col("first") - alone, F.lit(0)))).alias("i", "ft"))
-    posting = scratch.keep(posting.select("g", F.col("ft.t").alias("t"), "node", "n", "d", "u", (F.col("i") + F.col("alone")).alias("i")))
+    posting = left.join(ranked, "node").select("g", "node", "n", "d", "u", "linked", alone.alias("alone"), F.posexplode(F.slice("ts", F.lit(1), F.greatest(F.col("first") - alone, F.lit(0)))).alias("i", "ft"))
+    posting = scratch.keep(posting.select("g", F.col("ft.t").alias("t"), "node", "n", "d", "u", "linked", (F.col("i") + F.col("alone")).alias("i")))
     crowd = posting.groupBy("g", "t").agg(F.count("*").alias("c"), F.min("node").alias("b")).where(F.col("c") > LIMIT).select("g", "t", "b")
-    first = posting.join(crowd, ["g", "t"]).where("node <> b").select(F.col("node").alias("a"), "b").distinct()
+    near = star.select(F.col("a").alias("b"), F.lit(True).alias("linked_b"))
+    first = posting.join(crowd, ["g", "t"]).where("node <> b").select(F.col("node").alias("a"), "b", "linked").distinct()
+    first = first.join(near, "b", "left").where("NOT (linked AND coalesce(linked_b, false))").select("a", "b")
     edges = scratch.keep(star.unionByName(verified(scratch.keep(first), sets, similarity)))
     label = components(edges, scratch)
     named = scratch.keep(posting.join(label, "node", "left").withColumn("label", F.coalesce("label", "node")))
@@ -291,7 +301,7 @@ def group_links(group: DataFrame, sets: DataFrame, similarity: float, scratch: S
     common = needed(F.col("ua"), F.col("ub"))
     once = (F.col("labela") != F.col("labelb")) & (F.col("a") < F.col("b")) & (F.least("na", "nb") >= F.greatest("na", "nb") * similarity - low)
     pairs = x.join(y, ["g", "t"]).where(once & (F.col("ia") <= F.col("da") - common) & (F.col("ib") <= F.col("db") - common)).select("a", "b")
-    return edges.unionByName(verified(scratch.keep(pairs.distinct()), sets, similarity))
+    return label.where("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(verified(scratch.keep(pairs.distinct()), sets, similarity))
 
 
 def _most(bits: int, n: Column, similarity: float) -> Column:
