@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def valid_box(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
@@ -28,57 +30,85 @@ def box_cells(boxes: DataFrame, width: Column | int, height: Column | int) -> Da
     return rows.withColumn("x", F.explode(F.sequence(lo(F.col("x0")), hi(F.col("x1"), w))))
 
 
-def _touched(rings: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Of unit cells with corners (x, y), which the polygon of those rings meets: its inside (an odd number of rings)
-    holds the cell's centre or a corner, or an edge crosses the cell."""
-    a, b = np.concatenate(rings), np.concatenate([np.roll(r, -1, axis=0) for r in rings])
-    hit = np.zeros(len(x), dtype=bool)
-    for px, py in ((x + 0.5, y + 0.5), (x, y), (x + 1, y), (x, y + 1), (x + 1, y + 1)):
-        above = (a[:, 1][:, None] > py) != (b[:, 1][:, None] > py)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            at = a[:, 0][:, None] + (py - a[:, 1][:, None]) / (b[:, 1] - a[:, 1])[:, None] * (b[:, 0] - a[:, 0])[:, None]
-        hit |= (above & (px < at)).sum(axis=0) % 2 == 1
-    for (ax, ay), (bx, by) in zip(a, b, strict=True):  # an edge, cut to the cell by its parameter
-        dx, dy = bx - ax, by - ay
+def _edges(rings: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, a, b) of the edges of all polygons of a column of rings. Polygons that are no geometry have none: null rings,
+    rings below three points, and rings with a missing or non-finite coordinate."""
+    owner, ring = np.asarray(pc.list_parent_indices(rings)), pc.list_flatten(rings)
+    sizes = np.asarray(pc.fill_null(pc.list_value_length(ring), 0)).astype(np.int64)
+    points = pc.list_flatten(ring)
+    xy = np.stack([np.asarray(pc.fill_null(pc.struct_field(points, [name]).cast(pa.float64()), np.nan)) for name in "xy"], axis=1) if len(points) else np.zeros((0, 2))
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    bad = np.zeros(len(rings), dtype=bool)
+    bad[owner[sizes < 3]] = True
+    bad[owner[of[~np.isfinite(xy).all(axis=1)]]] = True
+    ends = np.cumsum(sizes)
+    after = np.arange(1, len(xy) + 1)
+    after[ends[sizes > 0] - 1] = (ends - sizes)[sizes > 0]  # the last point of a ring meets its first
+    good = ~bad[owner[of]]
+    return owner[of][good], xy[good], xy[after][good]
+
+
+def _touched(cell: np.ndarray, x: np.ndarray, y: np.ndarray, a: np.ndarray, b: np.ndarray, cells: int) -> np.ndarray:
+    """Of unit cells, which meet their polygon: its inside (an odd number of rings) holds the cell's centre or a corner,
+    or an edge crosses the cell. A row for each cell and edge of its polygon: the cell's number and corner, the edge."""
+    (ax, ay), (bx, by) = a.T, b.T
+    dx, dy = bx - ax, by - ay
+    hit = np.zeros(cells, dtype=bool)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        for px, py in ((x + 0.5, y + 0.5), (x, y), (x + 1, y), (x, y + 1), (x + 1, y + 1)):
+            crossed = ((ay > py) != (by > py)) & (px < ax + (py - ay) / dy * dx)
+            hit |= np.bincount(cell[crossed], minlength=cells) % 2 == 1
         lo, hi = np.zeros(len(x)), np.ones(len(x))
-        for p, d, c in ((ax, dx, x), (ay, dy, y)):
-            if d == 0:
-                out = (p < c) | (p > c + 1)
-                lo = np.where(out, 2.0, lo)
-            else:
-                t0, t1 = (c - p) / d, (c + 1 - p) / d
-                lo, hi = np.maximum(lo, np.minimum(t0, t1)), np.minimum(hi, np.maximum(t0, t1))
-        hit |= lo <= hi
+        for p, d, c in ((ax, dx, x), (ay, dy, y)):  # an edge, cut to the cell by its parameter
+            t0, t1, still = (c - p) / d, (c + 1 - p) / d, d == 0
+            lo = np.where(still, np.where((p < c) | (p > c + 1), 2.0, lo), np.maximum(lo, np.minimum(t0, t1)))
+            hi = np.where(still, hi, np.minimum(hi, np.maximum(t0, t1)))
+    hit[cell[lo <= hi]] = True
     return hit
 
 
+def _runs(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(which, at): for runs of those sizes, the run and the place in it of each element."""
+    which = np.repeat(np.arange(len(sizes)), sizes)
+    return which, np.arange(len(which)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
+#: Pairs of a cell and an edge that are looked at together; a row of cells of one polygon is not cut.
+PAIRS = 30_000
+
+
 def polygon_cells(polygons: DataFrame, width: int, height: int, keep: list[str]) -> DataFrame:
     """(keep..., y, x): cells that polygons touch. Column rings, array<array<struct<x,y>>>, or ring, one of them, in
     pixel coordinates; a cell within a hole is not touched.
 
-    Null rings, rings below three points and rings with NaN are no geometries. Candidate cells are those of the
-    bounding box, a bounded block of rows at a time; only the exact predicate is in Python."""
-    schema = ", ".join([*(f"{c} {polygons.schema[c].dataType.simpleString()}" for c in keep), "y int", "x int"])
+    Null rings, rings below three points and rings with NaN are no geometries. Candidate cells are those of the bounding
+    box; many polygons are looked at together, a bounded number of their rows of cells at a time."""
+    schema = T.StructType([*(polygons.schema[c] for c in keep), T.StructField("y", T.IntegerType()), T.StructField("x", T.IntegerType())])
     rings = F.col("rings") if "rings" in polygons.columns else F.array("ring")
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for row in frame.itertuples(index=False):
-                found = [None if r is None or len(r) < 3 else np.array([(p["x"], p["y"]) for p in r], dtype=float) for r in (row.rings if row.rings is not None else [None])]
-                if not found or any(r is None or not np.isfinite(r).all() for r in found):
-                    continue
-                pts = np.concatenate(found)
-                x0, x1 = max(int(np.floor(pts[:, 0].min())), 0), min(int(np.ceil(pts[:, 0].max())), width)
-                y0, y1 = max(int(np.floor(pts[:, 1].min())), 0), min(int(np.ceil(pts[:, 1].max())), height)
-                step = max(1, 200_000 // max(x1 - x0, 1))
-                for top in range(y0, y1, step):
-                    gy, gx = np.mgrid[top : min(top + step, y1), x0:x1]
-                    gy, gx = gy.ravel(), gx.ravel()
-                    hit = _touched(found, gx.astype(float), gy.astype(float))
-                    if hit.any():
-                        yield pd.DataFrame({**{c: [getattr(row, c)] * int(hit.sum()) for c in keep}, "y": gy[hit].astype("int32"), "x": gx[hit].astype("int32")})
-
-    return polygons.select(*keep, rings.alias("rings")).mapInPandas(run, schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own, a, b = _edges(batch.column(len(keep)))
+            if not len(own):
+                continue
+            row, start, edges = np.unique(own, return_index=True, return_counts=True)
+            low, high = np.minimum.reduceat(a, start), np.maximum.reduceat(a, start)
+            (x0, y0), (x1, y1) = np.clip(np.floor(low), 0, (width, height)).T.astype(int), np.clip(np.ceil(high), 0, (width, height)).T.astype(int)
+            across = np.maximum(x1 - x0, 0)
+            line, at = _runs(np.where(across > 0, np.maximum(y1 - y0, 0), 0))  # rows of cells: of which polygon, at which y
+            work = np.cumsum(across[line] * edges[line])
+            cut = np.unique(np.concatenate([[0], np.searchsorted(work, np.arange(PAIRS, (work[-1] if len(work) else 0) + PAIRS, PAIRS)), [len(line)]]))
+            for i, j in zip(cut[:-1], cut[1:], strict=True):
+                of, dx = _runs(across[line[i:j]])
+                of += i
+                gx, gy, polygon = x0[line[of]] + dx, y0[line[of]] + at[of], line[of]
+                cell, k = _runs(edges[polygon])
+                edge = start[polygon[cell]] + k
+                hit = _touched(cell, gx[cell].astype(float), gy[cell].astype(float), a[edge], b[edge], len(gx))
+                kept = pa.array(row[polygon[hit]])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).take(kept) for c in range(len(keep))), pa.array(gy[hit].astype(np.int32)), pa.array(gx[hit].astype(np.int32))], schema.names)
+
+    return polygons.select(*keep, rings.alias("rings")).mapInArrow(run, schema)
 
 
 def pixel_grid(rasters: DataFrame, key: str, width: Column | int, height: Column | int) -> DataFrame:

@@ -161,6 +161,46 @@ def test_polygon_cells_equal_boxes_and_split_diagonals(spark):
     assert set(got) == {1, 2}
 
 
+def plainly_touched(rings, x, y):
+    """Whether the cell at (x, y) holds a part of the polygon, one point and one edge at a time."""
+    edges = [(r[i], r[(i + 1) % len(r)]) for r in rings for i in range(len(r))]
+    for px, py in ((x + 0.5, y + 0.5), (x, y), (x + 1, y), (x, y + 1), (x + 1, y + 1)):
+        if sum((a[1] > py) != (b[1] > py) and px < a[0] + (py - a[1]) / (b[1] - a[1]) * (b[0] - a[0]) for a, b in edges) % 2:
+            return True
+    for a, b in edges:
+        lo, hi = 0.0, 1.0
+        for p, d, c in ((a[0], b[0] - a[0], x), (a[1], b[1] - a[1], y)):
+            if d == 0:
+                lo = 2.0 if p < c or p > c + 1 else lo
+            else:
+                lo, hi = max(lo, min((c - p) / d, (c + 1 - p) / d)), min(hi, max((c - p) / d, (c + 1 - p) / d))
+        if lo <= hi:
+            return True
+    return False
+
+
+def test_cells_of_many_polygons(spark):
+    """Polygons of several rings, beyond the raster too, and what is no geometry, against cell by cell."""
+    rng, rows, want = random.Random(4), [], set()
+    for k in range(3000):
+        rings, q = [], rng.choice([1, 4, 1000])
+        cx, cy = rng.uniform(-3, 16), rng.uniform(-3, 16)
+        for _ in range(rng.choice([1, 1, 2, 3])):
+            rings.append([(round((cx + rng.uniform(-3, 3)) * q) / q, round((cy + rng.uniform(-3, 3)) * q) / q) for _ in range(rng.choice([2, 3, 4, 4, 5, 5, 7]))])
+        if k % 3 == 0:
+            rings = [[*r, r[0]] for r in rings]
+        if k % 50 == 0:
+            rings[0][0] = (float("nan"), 1.0)
+        rows.append((k, None if k % 100 == 7 else [] if k % 100 == 8 else [None, *rings] if k % 100 == 9 else rings))
+        r = rows[-1][1]
+        if r and all(x is not None and len(x) >= 3 and all(math.isfinite(v) for p in x for v in p) for x in r):
+            xs, ys = [p[0] for x in r for p in x], [p[1] for x in r for p in x]
+            want |= {(k, y, x) for y in range(max(0, math.floor(min(ys))), min(14, math.ceil(max(ys)))) for x in range(max(0, math.floor(min(xs))), min(11, math.ceil(max(xs)))) if plainly_touched(r, x, y)}
+    p = spark.createDataFrame(rows, "k int, rings array<array<struct<x:double,y:double>>>")
+    got = [(r.k, r.y, r.x) for r in overlay.polygon_cells(p, 11, 14, ["k"]).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
 def test_crop_equals_blend_without_overlap(spark):
     s = spark.createDataFrame([(1, 21, 17)], "scene_id int, width int, height int")
     px = stitch.window_pixels(grid.inference_grid(s, 8, 8)).withColumns({f"p{i}": (F.hash("y", "x", F.lit(i)) % 8 + 8) / 16 for i in range(3)})
