@@ -238,9 +238,9 @@ def near_links(nodes: DataFrame, sets: DataFrame, similarity: float, scratch: Sc
         label = components(joined.distinct(), scratch).withColumnRenamed("node", "m")
         every = least.unionByName(pivots.withColumn("m", F.col("a"))).join(label, "m", "left")
         every = scratch.keep(every.select(F.col("a").alias("node"), F.coalesce("label", "m").alias("label")).distinct())
-        group = every.join(every.groupBy("label").agg(F.count("*").alias("m")).where(F.col("m") > LIMIT).select("label"), "label").select("node", "label")
-        named = lambda of: of.join(group, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        rows = scratch.keep(named(hot.drop("b")))
+        group = scratch.keep(every.join(every.groupBy("label").agg(F.count("*").alias("m")).where(F.col("m") > LIMIT).select("label"), "label").select("node", "label"))
+        named = scratch.keep(nodes.join(group, "node", "left").withColumn("label", F.coalesce("label", "node")))
+        rows = scratch.keep(exploded(named, "label").join(load.select("k"), "k"))
         sizes = rows.groupBy("k", "label").agg(F.count("*").alias("m"))
         return group, named, rows, scratch.keep(sizes.groupBy("k").agg(F.max_by("label", "m").alias("bulk"), (F.sum("m") - F.max("m")).alias("rest")).where("rest > 0"))
 
@@ -249,7 +249,7 @@ def near_links(nodes: DataFrame, sets: DataFrame, similarity: float, scratch: Sc
     if wide.take(1):
         group, named, rows, bulk = labelled(alike.unionByName(hot.join(wide, "k").select(F.col("node").alias("a"), "b")))
     pairs = _across(rows, bulk, ["k"], similarity)
-    few = exploded(named(nodes), "label").join(load.select("k"), "k", "left_anti")
+    few = exploded(named, "label").join(load.select("k"), "k", "left_anti")
     pairs = pairs.unionByName(_across(few, None, ["k"], similarity))
     centre = rows.groupBy("node").agg(F.count("*").alias("c"))
     edges = group_links(group.join(centre, "node", "left"), sets, similarity, scratch)
