@@ -730,3 +730,60 @@ def test_graph_recall_over_several_shards(spark):
         s = np.where(ids == q, -np.inf, x @ x[ids == q][0])
         hits += len(set(ids[np.lexsort((ids, -s))[:20]].tolist()) & set(found))
     assert hits >= 0.9 * 20 * len(got) and len(got) == len(ids[ids % 20 == 0])
+
+
+def test_graph_shards_grow_with_the_table(spark, monkeypatch):
+    """A query meets a bounded number of shards, not one for every few thousand rows."""
+    seen = []
+    monkeypatch.setattr(graph_ann, "answered", lambda data, asked, k, sizes, *more: seen.append(sizes[0]))
+    for name, value in (("SHARD", 50), ("MOST", 200), ("SHARDS", 4)):
+        monkeypatch.setattr(graph_ann, name, value)
+    df = spark.createDataFrame(vectors(2000, 3), "vec_id long, embedding array<float>")
+    for n in (100, 400, 2000):
+        graph_ann.graph_search(df.where(f"vec_id < {n}"), df.where("vec_id < 9"), 5)
+    assert seen == [50, 100, 200]
+
+
+def test_graph_reaches_every_node():
+    """Clusters far apart, more than have entries: each is reached, and a beam finds the nearest of the right one."""
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(300, 12)) * 50
+    x = np.repeat(centres, 30, axis=0) + rng.normal(size=(9000, 12)) / 2
+    x = np.concatenate([x, rng.normal(size=(7, 12)) * 300])
+    points, *frame = graph_ann._centred(x)
+    edges, entries = graph_ann.build_graph(points)
+    reached, new = np.zeros(len(x), bool), entries
+    while len(new):
+        reached[new] = True
+        new = np.unique(edges[new])
+        new = new[(new >= 0) & ~reached[new]]
+    assert reached.all() and len(entries) < len(x) / 4
+    ids = np.arange(len(x))
+    found = graph_ann.search_shard(graph_ann.pack_shard(ids, x, 5), pickle.dumps((ids[::500], x[::500])), 5, 160)
+    s = x[::500] @ x.T
+    s[np.arange(len(s)), ids[::500]] = -np.inf
+    want = {(int(q), int(v)) for q, row in zip(ids[::500], s, strict=True) for v in np.argsort(-row)[:5]}
+    assert len(want & set(zip(found[0].tolist(), found[1].tolist(), strict=True))) >= 0.95 * len(want)
+
+
+def test_packs_hold_every_query_once(spark, monkeypatch):
+    """Queries travel in packs of a shard, and answers below a query's k-th score are left out of the shards' answers."""
+    monkeypatch.setattr(vectors_, "HELD", 40)
+    monkeypatch.setattr(vectors_, "TURN", 1)
+    rows = [(i, [float(i), 1.0], p, None if i % 2 else float(i)) for i in range(90) for p in range(i % 4)]
+    routes = spark.createDataFrame(rows, "vec_id long, embedding array<double>, part int, kth double").repartition(3)
+    got = []
+    for r in vectors_.query_packs(routes, 16, 3).collect():
+        ids, vecs, kth, known = pickle.loads(r.data)
+        assert len(ids) < 2 * 16 and r.turn in range(3)
+        got += [(i, v, r.part, s if k else None) for i, v, s, k in zip(ids.tolist(), vecs.tolist(), kth.tolist(), known.tolist(), strict=True)]
+    assert sorted(got, key=str) == sorted(rows, key=str)
+    monkeypatch.setattr(cover_topk, "SHARD", 100)
+    monkeypatch.setattr(cover_topk, "BLOCK", 7)
+    rows = vectors(500, 4)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = collections.defaultdict(list)
+    for r in cover_topk.exact_topk(df, df.where("vec_id % 10 = 0"), 5).orderBy("query_id", "rank").collect():
+        found[r.query_id].append((r.vec_id, r.score))
+    whole = [(i, [math.floor(256 * x) for x in v]) for i, v in rows]
+    assert dict(found) == brute_top(whole, [w for w in whole if w[0] % 10 == 0], 5, lambda a, b: sum(x * y for x, y in zip(a, b, strict=True)))
