@@ -106,7 +106,9 @@ def cut_runs(docs: DataFrame, doc_id: str, text: str, min_words: int, scratch: S
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with later copies of repeated line runs cut out of the text, and n_lines and n_removed added."""
     scratch = Scratch(docs.sparkSession)
-    cuts = cut_runs(docs, doc_id, text, min_words, scratch)
+    # only the cuts are read later; what led to them goes at once
+    cuts = Scratch(docs.sparkSession).keep(cut_runs(docs, doc_id, text, min_words, scratch))
+    scratch.close()
     base = docs.drop(*[c for c in docs.columns if c.lower() in ("n_lines", "n_removed") and c not in (doc_id, text)])
     d, c, x = free_name(base, "_d"), free_name(base, "_cuts"), free_name(base, "_x")
     # the same plan at every size: texts meet their cuts by a shuffle

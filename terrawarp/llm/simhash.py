@@ -20,6 +20,7 @@ Defined results: see the functions.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from itertools import combinations, repeat
 
 import numpy as np
@@ -164,11 +165,22 @@ def wide_bits(h: np.ndarray, bits: int, step: int = 1 << 13) -> np.ndarray:
     return np.concatenate([bits_of(_mixed(h + np.uint64(i * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF), 1)) for i in range(k)])
 
 
-def _wide(docs: DataFrame, words: int, width: int, blocks_: int, tiny: int, doc_id: str, text: str) -> DataFrame:
+def _distinct(h: np.ndarray) -> np.ndarray:
+    h = np.sort(h)
+    return h[np.append(True, h[1:] != h[:-1])[: len(h)]]
+
+
+def _short(h: np.ndarray) -> np.ndarray:
+    """The 32 bits by which the shingles of a set are told apart."""
+    return _distinct(h.astype(np.uint32)).view(np.int32)
+
+
+def _wide(docs: DataFrame, words: int, width: int, blocks_: int, tiny: int, doc_id: str, text: str, sets: bool = True) -> DataFrame:
     """(doc_id, th, node, n, fp array<long>, keys array<long>, shingles array<int>): th names the text, node its set of
-    shingles, which are told apart by 32 bits of their hashes. Sets of up to TINY shingles have `tiny` keys, the first `blocks_` of them like those of others."""
+    shingles, which are told apart by 32 bits of their hashes. Sets of up to TINY shingles have `tiny` keys, the first `blocks_` of them like those of others.
+    Without `sets` no column shingles."""
     source = docs.select(docs[doc_id].alias("doc_id"), F.xxhash64(docs[text]).alias("th"), docs[text].alias("text"))
-    more = "node long, n long, fp array<long>, keys array<long>, shingles array<int>"
+    more = "node long, n long, fp array<long>, keys array<long>" + (", shingles array<int>" if sets else "")
     schema = T.StructType([*source.schema.fields[:2], *T.StructType.fromDDL(more).fields])
 
     def run(batches):
@@ -177,37 +189,62 @@ def _wide(docs: DataFrame, words: int, width: int, blocks_: int, tiny: int, doc_
             for part in blocks(batch.column(2)):
                 node, n, fp, keys, shingles = [], [], [], [], []
                 for t in batch.column(2)[part].to_pylist():
-                    h = np.sort(shingle_hashes(t, words))
-                    h = h[np.append(True, h[1:] != h[:-1])[: len(h)]]
+                    h = _distinct(shingle_hashes(t, words))
                     own = tiny if len(h) <= TINY else blocks_
                     bits = wide_bits(h, width * own)
                     node.append(xxhash.xxh64_intdigest(h.tobytes()) - (1 << 63))
                     n.append(len(h))
                     fp.append(np.packbits(bits[:NEAR_BITS], bitorder="little").view("<i8"))
                     keys.append(bits[: width * own].reshape(own, width) @ weights + (np.arange(own, dtype=np.int64) << width))
-                    low = np.sort(h.astype(np.uint32))
-                    shingles.append(low[np.append(True, low[1:] != low[:-1])[: len(low)]].view(np.int32))
-                yield pa.RecordBatch.from_arrays([batch.column(0)[part], batch.column(1)[part], pa.array(node, pa.int64()), pa.array(n, pa.int64()), _lists(fp), _lists(keys), _lists(shingles, pa.int32())], schema.names)
+                    if sets:
+                        shingles.append(_short(h))
+                own = [_lists(shingles, pa.int32())] if sets else []
+                yield pa.RecordBatch.from_arrays([batch.column(0)[part], batch.column(1)[part], pa.array(node, pa.int64()), pa.array(n, pa.int64()), _lists(fp), _lists(keys), *own], schema.names)
 
     return source.mapInArrow(run, schema)
 
 
+def sets_of_texts(docs: DataFrame, places: DataFrame, words: int, doc_id: str, text: str, scratch: Scratch) -> Callable[[DataFrame], DataFrame]:
+    """What makes the sets (node, shingles) of the nodes it is given (node, distinct) from their texts, which places
+    (doc_id, th, node) name. The sets of all texts take as many bytes as these, and few nodes have any candidate."""
+    source = docs.select(docs[doc_id].alias("_d"), F.xxhash64(docs[text]).alias("_h"), docs[text].alias("_t"))
+
+    def run(batches):
+        for batch in batches:
+            for part in blocks(batch.column(1)):
+                shingles = [_short(_distinct(shingle_hashes(t, words))) for t in batch.column(1)[part].to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column(0)[part], _lists(shingles, pa.int32())], ["node", "shingles"])
+
+    def make(named):
+        # a text of each node; written first, so that its size is known and few rows never shuffle the texts
+        one = scratch.keep(places.join(named, "node", "left_semi").groupBy("node").agg(F.min(F.struct("th", "doc_id")).alias("at")).select("node", "at.*"))
+        met = source.join(one, (F.col("_h") == F.col("th")) & F.col("_d").eqNullSafe(F.col("doc_id")))
+        return scratch.keep(met.select("node", F.col("_t").alias("text")).mapInArrow(run, "node long, shingles array<int>"))
+
+    return make
+
+
+def _sets(sets: DataFrame | Callable[[DataFrame], DataFrame], named: DataFrame) -> DataFrame:
+    return sets(named) if callable(sets) else sets.join(named, "node", "left_semi")
+
+
 def _lists(rows: list[np.ndarray], kind: pa.DataType = pa.int64()) -> pa.ListArray:  # noqa: B008
     at = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(rows), kind))
 
 
-def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Those pairs (a, b) of nodes whose sets (node, shingles; a row each at least) have that Jaccard similarity."""
+def verified(pairs: DataFrame, sets: DataFrame | Callable[[DataFrame], DataFrame], similarity: float) -> DataFrame:
+    """Those pairs (a, b) of nodes whose sets (node, shingles; a row each at least, or what makes them from nodes) have
+    that Jaccard similarity."""
     named = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    own = sets.join(named, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("h"))
+    own = _sets(sets, named).groupBy("node").agg(F.first("shingles").alias("h"))
     both = pairs.join(own.select(F.col("node").alias("a"), F.col("h").alias("ha")), "a").join(own.select(F.col("node").alias("b"), F.col("h").alias("hb")), "b")
     # |common| (1 + s) >= s (|a| + |b|), with room for rounding below any step of the counts
     enough = F.size(F.array_intersect("ha", "hb")) * (1 + similarity) >= (F.size("ha") + F.size("hb")) * similarity - 1e-6
     return both.where(enough).select("a", "b")
 
 
-def near_links(nodes: DataFrame, sets: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
+def near_links(nodes: DataFrame, sets: DataFrame | Callable[[DataFrame], DataFrame], similarity: float, scratch: Scratch) -> DataFrame:
     """Edges (a, b) that connect all nodes (node, n, fp, keys) that share a block and whose sets (node, shingles) have
     that similarity.
 
@@ -256,7 +293,7 @@ def near_links(nodes: DataFrame, sets: DataFrame, similarity: float, scratch: Sc
     return edges.unionByName(verified(_close(pairs.distinct(), fp, similarity, scratch), sets, similarity))
 
 
-def group_links(group: DataFrame, sets: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
+def group_links(group: DataFrame, sets: DataFrame | Callable[[DataFrame], DataFrame], similarity: float, scratch: Scratch) -> DataFrame:
     """Edges (a, b) that connect all nodes of a group (node, label, c) whose sets (node, shingles) have that similarity.
     Exact.
 
@@ -269,8 +306,9 @@ def group_links(group: DataFrame, sets: DataFrame, similarity: float, scratch: S
     what all have is met by none. Where more than LIMIT nodes meet in a shingle, all are first verified against one of
     them, and only nodes of different components are paired."""
     share, low = (1 - similarity) / (1 + similarity), 1e-6
-    own = sets.join(group, "node").groupBy("node").agg(F.first("label").alias("g"), F.first("c").alias("c"), F.first("shingles").alias("h"))
+    own = _sets(sets, group.select("node")).join(group, "node").groupBy("node").agg(F.first("label").alias("g"), F.first("c").alias("c"), F.first("shingles").alias("h"))
     own = scratch.keep(own)
+    sets = own.select("node", F.col("h").alias("shingles"))
     pivot = own.groupBy("g").agg(F.max_by(F.struct("node", "h"), F.struct(F.coalesce("c", F.lit(0)), F.col("node"))).alias("p"))
     met = own.join(pivot.select("g", F.col("p.node").alias("b"), F.col("p.h").alias("hb")), "g").where("node <> b")
     apart = F.concat(F.array_except("h", "hb"), F.array_except("hb", "h"))
@@ -344,10 +382,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, do
     """
     scratch = Scratch(docs.sparkSession)
     width, blocks, tiny = plan_blocks(docs.count(), similarity)
-    made = scratch.keep(_wide(docs, words, width, blocks, tiny, doc_id, text))
+    made, path = scratch.write(_wide(docs, words, width, blocks, tiny, doc_id, text, sets=False))
     nodes = scratch.keep(made.groupBy("node").agg(F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("keys").alias("keys")))
-    label = components(near_links(nodes, made.select("node", "shingles"), similarity, scratch), scratch)
-    return scratch.keep(made.select("doc_id", "th", "node").join(label, "node", "left").withColumn("label", F.coalesce("label", "node")))
+    places = scratch.keep(made.select("doc_id", "th", "node"))
+    scratch.drop(path)
+    label = components(near_links(nodes, sets_of_texts(docs, places, words, doc_id, text, scratch), similarity, scratch), scratch)
+    labelled = Scratch(docs.sparkSession).keep(places.join(label, "node", "left").withColumn("label", F.coalesce("label", "node")))
+    scratch.close()
+    return labelled
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -787,3 +787,18 @@ def test_packs_hold_every_query_once(spark, monkeypatch):
         found[r.query_id].append((r.vec_id, r.score))
     whole = [(i, [math.floor(256 * x) for x in v]) for i, v in rows]
     assert dict(found) == brute_top(whole, [w for w in whole if w[0] % 10 == 0], 5, lambda a, b: sum(x * y for x, y in zip(a, b, strict=True)))
+
+
+def test_scratch_of_dedups_goes_early(spark):
+    """What led to labels and cuts is gone once they are written, and sets of shingles are made for candidates alone."""
+    from pathlib import Path
+
+    root = Path(spark.conf.get("spark.checkpoint.dir"))
+    rows = variants(60, 7) + variants(2, 8, 90, 0, 1)
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    for make in (simhash.near_duplicates, line_dedup.dedup_lines):
+        before = set(root.glob("*/*"))
+        got = make(docs)
+        assert len(set(root.glob("*/*")) - before) == 1
+        assert got.count() == len(rows)
+    assert "shingles" not in simhash._wide(docs, 5, 8, 80, 80, "doc_id", "text", sets=False).columns
